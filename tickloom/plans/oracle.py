@@ -43,12 +43,12 @@ spread AS (
 )"""
 
 
-def _windows(source: str = "silver", size: int = 60, slide: int = 10) -> str:
+def _windows(source: str = "silver", size: int = 60, slide: int = 10, digits: int = 6) -> str:
     return f"""{_spread(source, size, slide)},
 windows AS (
   SELECT symbol, window_start,
          window_start + INTERVAL {size} SECOND AS window_end,
-         round(avg(price), 6) AS avg_price,
+         round(avg(price), {digits}) AS avg_price,
          count(*) AS n_ticks,
          CAST(window_start AS DATE) AS window_date
   FROM spread GROUP BY symbol, window_start
@@ -200,7 +200,7 @@ SELECT exchange, venue_type, settlement_currency, base_asset, quote_asset, weekd
 FROM fact_ticks JOIN dim_symbol USING (symbol_key) JOIN dim_market USING (market_key)
 JOIN dim_time USING (time_key) GROUP BY ALL""",
     "sliding_average": ALL_WINDOWS,
-    "sliding_average_hour": f"WITH {SILVER},{_windows('silver', 3600, 600)} SELECT * FROM windows",
+    "sliding_average_hour": f"WITH {SILVER},{_windows('silver', 3600, 600, 8)} SELECT * FROM windows",
     "price_by_minute": _chart(60, "round(avg(price), 6) AS avg_price"),
     "volume_by_5min": _chart(300, "sum(volume) AS total_volume"),
     "gold_chart": f"""{GOLD}

@@ -47,13 +47,13 @@ def _gold(spark: SparkSession, folder: str) -> DataFrame:
     return windows.closed_windows(windows.sliding_average(silver), silver)
 
 
-def _rounded(rows: DataFrame, *names: str) -> DataFrame:
+def _rounded(rows: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     """Averages of doubles depend on the order of summing in their last digits."""
-    return rows.withColumns({name: F.round(name, 6) for name in names})
+    return rows.withColumns({name: F.round(name, digits) for name in names})
 
 
-def _on_silver(question: Callable[[DataFrame], DataFrame], *rounded: str) -> Query:
-    return lambda spark, folder: _rounded(question(_silver(spark, folder)), *rounded)
+def _on_silver(question: Callable[[DataFrame], DataFrame], *rounded: str, digits: int = 6) -> Query:
+    return lambda spark, folder: _rounded(question(_silver(spark, folder)), *rounded, digits=digits)
 
 
 # --- messages and ticks -----------------------------------------------------------------
@@ -359,7 +359,7 @@ QUERIES: dict[str, Query] = {
     "star_calendar": star_calendar,
     "sliding_average": _on_silver(windows.sliding_average, "avg_price"),
     "sliding_average_hour": _on_silver(
-        lambda rows: windows.sliding_average(rows, HOUR, TEN_MINUTES), "avg_price"
+        lambda rows: windows.sliding_average(rows, HOUR, TEN_MINUTES), "avg_price", digits=8
     ),
     "price_by_minute": _on_silver(windows.price_series, "avg_price"),
     "volume_by_5min": _on_silver(windows.volume_series),
