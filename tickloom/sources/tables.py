@@ -8,8 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# The error conditions Spark raises for a table that has no files yet.
-NOT_READY = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+# The error conditions Spark raises for a table that has no files yet. The last
+# one stands for a streaming sink that has started but not written a file.
+NOT_READY = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "_LEGACY_ERROR_TEMP_1134"}
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
