@@ -13,8 +13,6 @@ from tickloom.operators.lookup import lookup_join
 from tickloom.sources.schemas import DIM_MARKET, MARKET_ROWS
 from tickloom.sources.tables import write_table
 
-CALENDAR = ("year", "month", "day", "hour", "minute", "weekday")
-
 
 def dim_time(ticks: DataFrame) -> DataFrame:
     """One row per distinct event second with its calendar parts."""
@@ -43,12 +41,18 @@ def fact_ticks(ticks: DataFrame) -> DataFrame:
 
 
 def write_star(ticks: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Write all four tables below ``root`` and read them back."""
+    """Write all four tables below ``root`` and read them back.
+
+    ``ticks`` are computed once, for the facts, and are taken to come day by day; the
+    dimensions then read one column each of the written facts.
+    """
+    facts = write_table(fact_ticks(ticks), f"{root}/fact_ticks", ["ingest_date"], gather=False)
+    keys = facts.withColumnsRenamed({"time_key": "event_time", "symbol_key": "symbol"})
     return {
-        "dim_time": write_table(dim_time(ticks), f"{root}/dim_time"),
-        "dim_symbol": write_table(dim_symbol(ticks), f"{root}/dim_symbol"),
+        "fact_ticks": facts,
+        "dim_time": write_table(dim_time(keys), f"{root}/dim_time"),
+        "dim_symbol": write_table(dim_symbol(keys), f"{root}/dim_symbol"),
         "dim_market": write_table(dim_market(ticks.sparkSession), f"{root}/dim_market"),
-        "fact_ticks": write_table(fact_ticks(ticks), f"{root}/fact_ticks", ["ingest_date"]),
     }
 
 
@@ -77,7 +81,8 @@ def full_star(
     """Every fact with the columns of all three dimensions.
 
     The dimensions are measured: small ones are broadcast, larger ones joined with salted
-    keys (``dim_time`` has a row per second and outgrows a broadcast first).
+    keys (``dim_time`` has a row per second and outgrows a broadcast first). As for
+    :func:`volume_by_calendar`, give the written facts.
     """
     joined = lookup_join(facts, symbols, ["symbol_key"])
     joined = lookup_join(joined, markets, ["market_key"])
@@ -89,7 +94,9 @@ def volume_by_calendar(
 ) -> DataFrame:
     """Volume and tick count per venue, asset pair, weekday and hour, over the full star.
 
-    Each join is preceded by a sum over its key, so the joins see reduced rows only.
+    Each join is preceded by a sum over its key, so the joins see reduced rows only. Give the
+    written facts: in facts still being computed the market key is a literal, and a join on
+    a literal is planned as a cross join.
     """
     measures = [F.sum("volume").alias("volume"), F.sum("ticks").alias("ticks")]
     keys = ["symbol_key", "market_key"]

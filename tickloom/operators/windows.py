@@ -50,26 +50,30 @@ def sliding_average(
     """
     if size % slide:
         raise ValueError("the window size must be a multiple of the slide")
-    pane = F.window("event_time", _seconds(slide)).start
-    panes = ticks.groupBy("symbol", pane.alias("pane_start")).agg(
-        F.sum("price").alias("price_sum"),
-        F.count("price").alias("n_prices"),
-        F.count(F.lit(1)).alias("pane_ticks"),
-    )
-    back = F.sequence(F.lit(0), F.lit(size - slide), F.lit(slide))
-    spread = panes.withColumn("back", F.explode(back)).withColumn(
-        "window_start", F.col("pane_start") - F.make_dt_interval(secs=F.col("back"))
+    second = F.unix_seconds("event_time")
+    panes = (
+        ticks.filter(F.col("event_time").isNotNull())
+        .groupBy("symbol", (second - F.pmod(second, F.lit(slide))).alias("pane"))
+        .agg(
+            F.sum("price").alias("price_sum"),
+            F.count("price").alias("n_prices"),
+            F.count(F.lit(1)).alias("pane_ticks"),
+        )
     )
-    return _day_of_window(
-        spread.groupBy("symbol", "window_start")
+    back = F.explode(F.array(*(F.lit(step) for step in range(0, size, slide))))
+    windows = (
+        panes.withColumn("back", back)
+        .groupBy("symbol", (F.col("pane") - F.col("back")).alias("start"))
         .agg(
             F.try_divide(F.sum("price_sum"), F.sum("n_prices")).alias("avg_price"),
             F.sum("pane_ticks").alias("n_ticks"),
         )
-        .select(
+    )
+    return _day_of_window(
+        windows.select(
             "symbol",
-            "window_start",
-            (F.col("window_start") + F.make_dt_interval(secs=F.lit(size))).alias("window_end"),
+            F.timestamp_seconds("start").alias("window_start"),
+            F.timestamp_seconds(F.col("start") + size).alias("window_end"),
             "avg_price",
             "n_ticks",
         )

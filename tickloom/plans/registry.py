@@ -131,25 +131,24 @@ def dim_symbol(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_ticks(spark: SparkSession, folder: str) -> DataFrame:
     rows = star.fact_ticks(_silver(spark, folder))
-    return tables.write_table(rows, work_folder(spark, "fact_ticks"), ["ingest_date"])
+    return tables.write_table(rows, work_folder(spark, "fact_ticks"), ["ingest_date"], gather=False)
 
 
 def star_volume(spark: SparkSession, folder: str) -> DataFrame:
     return star.volume_by_asset(star.fact_ticks(_silver(spark, folder)), dim_symbol(spark, folder))
 
 
+def _star(spark: SparkSession, folder: str) -> list[DataFrame]:
+    written = star.write_star(_silver(spark, folder), work_folder(spark, "star"))
+    return [written[name] for name in ("fact_ticks", "dim_time", "dim_symbol", "dim_market")]
+
+
 def star_full(spark: SparkSession, folder: str) -> DataFrame:
-    facts = star.fact_ticks(_silver(spark, folder))
-    return star.full_star(
-        facts, dim_time(spark, folder), dim_symbol(spark, folder), star.dim_market(spark)
-    )
+    return star.full_star(*_star(spark, folder))
 
 
 def star_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    facts = star.fact_ticks(_silver(spark, folder))
-    return star.volume_by_calendar(
-        facts, dim_time(spark, folder), dim_symbol(spark, folder), star.dim_market(spark)
-    )
+    return star.volume_by_calendar(*_star(spark, folder))
 
 
 def silver_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,7 +163,7 @@ def tables_listed(spark: SparkSession, folder: str) -> DataFrame:
     """Write all layers, register them, and count the rows SQL sees in each listed table."""
     root = work_folder(spark, "lake")
     silver = _silver(spark, folder)
-    tables.write_table(_ticks(spark, folder), medallion.BRONZE.path(root), ["ingest_date"])
+    tables.write_table(_ticks(spark, folder), medallion.BRONZE.path(root), ["ingest_date"], gather=False)
     tables.write_table(silver, medallion.SILVER.path(root), ["ingest_date", "symbol"])
     tables.write_table(_gold(spark, folder), medallion.GOLD.path(root), ["window_date"])
     star.write_star(silver, f"{root}/gold_star")
@@ -186,7 +185,7 @@ def replay_day(spark: SparkSession, folder: str) -> DataFrame:
     """Silver with one day filtered again under tighter bands."""
     root = work_folder(spark, "replay")
     bronze, silver = f"{root}/bronze", f"{root}/silver"
-    layer = tables.write_table(_ticks(spark, folder), bronze, ["ingest_date"])
+    layer = tables.write_table(_ticks(spark, folder), bronze, ["ingest_date"], gather=False)
     tables.write_table(
         cleaning.clean_ticks(layer, events.EVENT_BANDS), silver, ["ingest_date", "symbol"]
     )
@@ -198,7 +197,7 @@ def replay_gold_day(spark: SparkSession, folder: str) -> DataFrame:
     """Sliding averages with the windows of one day computed again under tighter bands."""
     root = work_folder(spark, "replay-gold")
     bronze, gold = f"{root}/bronze", f"{root}/gold"
-    layer = tables.write_table(_ticks(spark, folder), bronze, ["ingest_date"])
+    layer = tables.write_table(_ticks(spark, folder), bronze, ["ingest_date"], gather=False)
     silver = cleaning.clean_ticks(layer, events.EVENT_BANDS)
     tables.write_table(windows.sliding_average(silver), gold, ["window_date"])
     maintenance.replay_gold_day(spark, bronze, gold, REPLAY_DAY, TIGHT_BANDS)

@@ -46,16 +46,20 @@ def has_sink_log(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def write_table(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def write_table(
+    rows: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = True
+) -> DataFrame:
     """Overwrite a batch-owned table and read it back.
 
     A partitioned write is rebalanced on the partition columns first: each folder gets few
     files, yet a day or symbol that holds most of the rows is still split over many tasks.
+    Turn ``gather`` off, and save that shuffle, where the rows come in partition order, as
+    ticks that were written day by day do.
     """
     spark = rows.sparkSession
     if has_sink_log(spark, path):
         raise ValueError(f"{path} belongs to a streaming sink; write to another folder")
-    out = rows.hint("rebalance", *partition_by) if partition_by else rows
+    out = rows.hint("rebalance", *partition_by) if partition_by and gather else rows
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
