@@ -1,4 +1,9 @@
+import subprocess
+import sys
+
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from samples import PUBLISHED, arrive, at, clock, messages, stream, ticks, values
@@ -144,6 +149,20 @@ def test_copies_are_merged_before_the_stateful_shuffle(spark, folder):
     assert state["customMetrics"]["numDroppedDuplicateRows"] == 0
 
 
+def test_merging_needs_no_package_on_the_executors(folder):
+    batch = pa.record_batch({"k": ["a", "b", "a", None, None], "n": [1, 2, 3, 4, 5]})
+    with open(f"{folder}/fn", "wb") as out:
+        out.write(cloudpickle.dumps((dedup.merge_copies(("k",)), batch)))
+    code = (
+        "import pickle, sys; fn, batch = pickle.load(open(sys.argv[1], 'rb'));"
+        "print([b.column('n').to_pylist() for b in fn([batch])], 'tickloom' in sys.modules)"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code, f"{folder}/fn"], cwd=folder, capture_output=True, text=True, timeout=60
+    )
+    assert done.stdout.strip() == "[[1, 2, 4]] False", done.stderr
+
+
 def test_live_queries_run_side_by_side_and_stop(spark, folder):
     arrive(spark, PUBLISHED, f"{folder}/inbox")
     started = medallion.start_medallion(stream(spark, f"{folder}/inbox"), folder)

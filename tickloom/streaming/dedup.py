@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,15 +19,24 @@ def drop_repeats_stream(ticks: DataFrame, lateness: int = LATENESS_SECONDS) -> D
     copies inside an Arrow batch are therefore merged before that shuffle.
     """
     return (
-        ticks.mapInArrow(_merge_copies, ticks.schema)
+        ticks.mapInArrow(merge_copies(REPEAT_KEY), ticks.schema)
         .withWatermark("event_time", f"{lateness} seconds")
         .dropDuplicatesWithinWatermark(list(REPEAT_KEY))
     )
 
 
-def _merge_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = pa.table({name: batch.column(name) for name in REPEAT_KEY})
-        numbered = keys.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
-        first = numbered.group_by(list(REPEAT_KEY)).aggregate([("row", "min")])
-        yield batch.take(first.column("row_min").combine_chunks().sort())
+def merge_copies(key: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function that keeps the first row per key of every batch.
+
+    It is built here, not defined at module level, so that it travels to the executors whole
+    and they need not have this package installed.
+    """
+
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch.column(name) for name in key}
+            numbered = pa.table({**columns, "row": pa.array(range(batch.num_rows), pa.int64())})
+            first = numbered.group_by(list(key)).aggregate([("row", "min")])
+            yield batch.take(first.column("row_min").combine_chunks().sort())
+
+    return first_rows
