@@ -18,7 +18,8 @@ from tickloom.session import build_session  # noqa: E402
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for file in sorted(Path(folder).glob("*.parquet")):
-        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+        found = f"{file}/*.parquet" if file.is_dir() else file
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{found}'")
     return connection
 
 

@@ -139,6 +139,18 @@ def test_repeats_are_dropped_within_and_across_batches(spark, folder):
     assert sorted(values(got.select(RAW))) == sorted([a, b, ("A", 1.0, 1.0, at(2))])
 
 
+def test_layers_without_repeats(spark, folder):
+    rows = [("A", float(s % 5 + 1), 1.0, at(s)) for s in range(0, 500, 7)]
+    arrive(spark, rows * 2, f"{folder}/inbox")
+    run_layers(spark, folder, once=True)
+    assert spark.read.parquet(medallion.BRONZE.path(folder)).count() == 2 * len(rows)
+    silver = spark.read.parquet(medallion.SILVER.path(folder))
+    assert sorted(values(silver.select(RAW))) == sorted(rows)
+    clean = ticks(spark, rows)
+    expected = windows.closed_windows(windows.sliding_average(clean), clean)
+    assert values(gold(spark, folder).select(GOLD), "window_start") == values(expected.select(GOLD), "window_start")
+
+
 def test_copies_are_merged_before_the_stateful_shuffle(spark, folder):
     arrive(spark, [("A", 1.0, 1.0, at(0))] * 5000 + [("B", 1.0, 1.0, at(0)), "junk", "junk"], f"{folder}/inbox")
     rows = dedup.drop_repeats_stream(medallion.bronze_rows(stream(spark, f"{folder}/inbox")))

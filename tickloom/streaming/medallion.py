@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.functions.bands import PriceBands
 from tickloom.operators.cleaning import clean_ticks
 from tickloom.operators.ticks import decode_messages
-from tickloom.operators.windows import sliding_average_stream
+from tickloom.operators.windows import LATENESS_SECONDS, sliding_average_stream
+from tickloom.streaming.dedup import drop_repeats_stream
 from tickloom.streaming.runtime import start_table
 
 
@@ -62,14 +63,20 @@ def bronze_rows(messages: DataFrame) -> DataFrame:
     return decode_messages(messages).drop("kafka_ts")
 
 
-def silver_rows(messages: DataFrame, bands: PriceBands = PriceBands()) -> DataFrame:
-    """Bronze rows that pass the outlier filter."""
-    return clean_ticks(bronze_rows(messages), bands)
+def silver_rows(
+    messages: DataFrame, bands: PriceBands = PriceBands(), once: bool = False
+) -> DataFrame:
+    """Bronze rows that pass the outlier filter; with ``once``, without repeated ticks."""
+    clean = clean_ticks(bronze_rows(messages), bands)
+    return drop_repeats_stream(clean) if once else clean
 
 
-def gold_rows(messages: DataFrame, bands: PriceBands = PriceBands()) -> DataFrame:
+def gold_rows(
+    messages: DataFrame, bands: PriceBands = PriceBands(), once: bool = False
+) -> DataFrame:
     """Sliding averages over silver rows, each window once when it is final."""
-    return sliding_average_stream(silver_rows(messages, bands))
+    lateness = None if once else LATENESS_SECONDS  # removing repeats has set the watermark
+    return sliding_average_stream(silver_rows(messages, bands, once), lateness=lateness)
 
 
 def start_medallion(
@@ -79,13 +86,15 @@ def start_medallion(
     live: bool = True,
     state_partitions: int | None = None,
     layers: Sequence[Layer] = LAYERS,
+    once: bool = False,
 ) -> dict[str, StreamingQuery]:
     """Start one query per layer; each reads the messages at its own pace and can be
-    stopped, restarted and resumed alone."""
+    stopped, restarted and resumed alone. ``once`` drops repeated ticks before silver and
+    gold; bronze always keeps them."""
     rows = {
         BRONZE: lambda: bronze_rows(messages),
-        SILVER: lambda: silver_rows(messages, bands),
-        GOLD: lambda: gold_rows(messages, bands),
+        SILVER: lambda: silver_rows(messages, bands, once),
+        GOLD: lambda: gold_rows(messages, bands, once),
     }
     return {
         layer.name: layer.start(rows[layer](), root, live, state_partitions) for layer in layers
