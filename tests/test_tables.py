@@ -1,6 +1,7 @@
 import datetime as dt
 import uuid
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -122,6 +123,19 @@ def test_compaction_gives_the_same_rows_in_fewer_files(spark, folder):
     assert {row.ingest_date for row in one_day.collect()} == {D1}
 
 
+def test_compacted_files_are_in_time_order(spark, folder):
+    rows = [(symbol, 1.0, 1.0, at((s * 37) % 101)) for s in range(101) for symbol in ("A", "B")]
+    ticks(spark, rows).repartition(6).write.parquet(f"{folder}/in")
+    out = maintenance.compact(
+        spark, f"{folder}/in", f"{folder}/out", ["ingest_date", "symbol"], sort_by=["timestamp"]
+    )
+    files = {row[0] for row in out.select(F.input_file_name()).distinct().collect()}
+    assert len(files) == 2
+    for file in files:
+        times = pq.ParquetFile(file.removeprefix("file://")).read(["timestamp"]).column(0).to_pylist()
+        assert times == [at(s) for s in range(101)]
+
+
 def test_compaction_splits_a_hot_partition(spark, folder):
     hot = spark.range(300_000).select(
         F.lit("A").alias("symbol"), F.rand(1).alias("price"), F.rand(2).alias("volume"), F.lit(at(0)).alias("timestamp"),

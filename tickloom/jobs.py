@@ -140,7 +140,9 @@ def register(spark: SparkSession, args: argparse.Namespace) -> None:
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     """Copy a layer into larger files at ``--target``."""
     layer = {layer.name: layer for layer in medallion.LAYERS}[args.layer]
-    maintenance.compact(spark, layer.path(args.root), args.target, layer.partition_by)
+    maintenance.compact(
+        spark, layer.path(args.root), args.target, layer.partition_by, sort_by=[layer.time_column]
+    )
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:

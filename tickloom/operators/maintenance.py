@@ -13,7 +13,7 @@ from tickloom.functions.bands import PriceBands
 from tickloom.operators.cleaning import clean_ticks
 from tickloom.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS, sliding_average
 from tickloom.session import settings
-from tickloom.sources.tables import has_sink_log, read_table, write_table
+from tickloom.sources.tables import has_sink_log, overwrite_folder, read_table, write_table
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -26,12 +26,14 @@ def compact(
     finished: Column | None = None,
     file_bytes: int = TARGET_FILE_BYTES,
     schema: StructType | None = None,
+    sort_by: Sequence[str] = (),
 ) -> DataFrame:
     """Copy a layer, or its ``finished`` partitions, into fewer and larger files.
 
     The copy goes to another folder: readers of a streaming layer follow the sink's log and
     would miss files swapped in place. Partitions are merged and split by size, so a symbol
     that holds a third of the rows becomes several files written by several tasks.
+    ``sort_by`` puts the rows of a file back in order, which small files had for free.
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compact into another folder, not in place")
@@ -39,10 +41,12 @@ def compact(
     if finished is not None:
         rows = rows.filter(finished)
     with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes)}):
-        return write_table(rows, target, partition_by)
+        return write_table(rows, target, partition_by, sort_by=sort_by)
 
 
-def _replace_day(rows: DataFrame, table: str, column: str, day: dt.date, inner: Sequence[str]) -> None:
+def _replace_day(
+    rows: DataFrame, table: str, column: str, day: dt.date, inner: Sequence[str], order: str
+) -> None:
     """Overwrite one day folder of a batch-owned table.
 
     Writing to the folder itself, rather than overwriting partitions by their new contents,
@@ -52,10 +56,7 @@ def _replace_day(rows: DataFrame, table: str, column: str, day: dt.date, inner:
     if has_sink_log(spark, table):
         raise ValueError(f"{table} belongs to a streaming sink; replay into a batch-owned table")
     out = rows.drop(column).hint("rebalance", *inner)
-    writer = out.write.mode("overwrite")
-    if inner:
-        writer = writer.partitionBy(*inner)
-    writer.parquet(f"{table}/{column}={day.isoformat()}")
+    overwrite_folder(out, f"{table}/{column}={day.isoformat()}", inner, [order])
 
 
 def replay_silver_day(
@@ -66,7 +67,7 @@ def replay_silver_day(
     Only that day's bronze folder is read. If the job dies half way, run it again.
     """
     ticks = spark.read.parquet(bronze).filter(F.col("ingest_date") == F.lit(day))
-    _replace_day(clean_ticks(ticks, bands), table, "ingest_date", day, ["symbol"])
+    _replace_day(clean_ticks(ticks, bands), table, "ingest_date", day, ["symbol"], "event_time")
 
 
 def replay_gold_day(
@@ -88,4 +89,4 @@ def replay_gold_day(
     )
     windows = sliding_average(clean_ticks(ticks, bands), size, slide)
     rows = windows.filter(F.col("window_date") == F.lit(day))
-    _replace_day(rows, table, "window_date", day, [])
+    _replace_day(rows, table, "window_date", day, [], "window_start")

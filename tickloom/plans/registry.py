@@ -176,9 +176,11 @@ def tables_listed(spark: SparkSession, folder: str) -> DataFrame:
 
 def compaction(spark: SparkSession, folder: str) -> DataFrame:
     """A streamed silver layer, compacted into a sibling folder."""
-    root = _streamed(spark, folder, medallion.SILVER)
-    keys = list(medallion.SILVER.partition_by)
-    return maintenance.compact(spark, medallion.SILVER.path(root), f"{root}/compacted", keys)
+    layer = medallion.SILVER
+    root = _streamed(spark, folder, layer)
+    return maintenance.compact(
+        spark, layer.path(root), f"{root}/compacted", layer.partition_by, sort_by=[layer.time_column]
+    )
 
 
 def replay_day(spark: SparkSession, folder: str) -> DataFrame:
@@ -268,7 +270,7 @@ def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The table in two arrivals: before and from the middle of its time span."""
     rows = events.read_events(spark, folder)
     first, last = rows.agg(F.min("ts"), F.max("ts")).first()
-    middle = F.lit(first + (last - first) / 2)
+    middle = F.lit((first + (last - first) // 2).isoformat(" ")).cast("timestamp_ntz")
     return rows.filter(F.col("ts") < middle), rows.filter(F.col("ts") >= middle)
 
 

@@ -25,6 +25,7 @@ class Layer:
     checkpoint: str
     partition_by: tuple[str, ...]
     every: str
+    time_column: str
 
     def path(self, root: str) -> str:
         return f"{root}/{self.folder}"
@@ -52,9 +53,13 @@ class Layer:
 
 
 # Folders, partition columns and triggers of the three layers.
-BRONZE = Layer("bronze", "bronze/ticks", "bronze", ("ingest_date",), "20 seconds")
-SILVER = Layer("silver", "silver/ticks", "silver", ("ingest_date", "symbol"), "20 seconds")
-GOLD = Layer("gold", "gold/moving_avg", "gold_moving_avg", ("window_date",), "30 seconds")
+BRONZE = Layer("bronze", "bronze/ticks", "bronze", ("ingest_date",), "20 seconds", "event_time")
+SILVER = Layer(
+    "silver", "silver/ticks", "silver", ("ingest_date", "symbol"), "20 seconds", "event_time"
+)
+GOLD = Layer(
+    "gold", "gold/moving_avg", "gold_moving_avg", ("window_date",), "30 seconds", "window_start"
+)
 LAYERS = (BRONZE, SILVER, GOLD)
 
 
