@@ -228,6 +228,8 @@ def test_state_is_on_rocksdb_with_the_asked_partitions(spark, folder):
     files = observe.checkpoint_files(spark, checkpoint)
     assert {"offsets", "commits", "state", "metadata"} <= {row.folder for row in files.collect()}
     assert files.filter("file = 'offsets/0'").first().bytes > 0
+    by_url = observe.checkpoint_files(spark, f"file://{checkpoint}/")
+    assert sorted(values(by_url)) == sorted(values(files))
 
 
 def test_lag_with_a_fixed_now(spark):

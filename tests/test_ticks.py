@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from samples import PUBLISHED, START, messages, ticks, values
 from tickloom.functions.clock import calendar_parts, event_time
 from tickloom.functions.pairs import split_pair
+from tickloom.operators.cleaning import clean_ticks
 from tickloom.operators.ticks import decode_messages, encode_messages, normalise_payloads
 from tickloom.plans.inspect import plan_text
-from tickloom.operators.cleaning import clean_ticks
+from tickloom.sources.schemas import TICK
 
 FIELDS = ["symbol", "price", "volume", "timestamp"]
 
@@ -22,6 +23,12 @@ def test_messages_survive_a_round_trip(spark):
     assert back.columns == FIELDS + ["kafka_ts", "event_time", "ingest_date"]
 
 
+def test_rows_in_memory_must_fit_the_tick_schema(spark):
+    assert sorted(values(spark.createDataFrame(PUBLISHED, TICK))) == sorted(PUBLISHED)
+    with pytest.raises(Exception, match="price"):
+        spark.createDataFrame([("A", None, 1.0, START)], TICK).count()
+
+
 def test_key_is_the_symbol(spark):
     keys = encode_messages(ticks(spark, PUBLISHED)).select(F.col("key").cast("string"))
     assert {row[0] for row in keys.collect()} == {row[0] for row in PUBLISHED}

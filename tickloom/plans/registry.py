@@ -24,6 +24,7 @@ NOW = "2024-02-01 00:00:00"
 REPLAY_DAY = dt.date(2024, 1, 15)
 TIGHT_BANDS = PriceBands(events.EVENT_BANDS.anchors, 0.5, 1.5)
 HOUR, TEN_MINUTES = 3600, 600
+FILES_PER_BATCH = 10_000
 
 
 def _ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,8 +39,8 @@ def _messages(spark: SparkSession, folder: str) -> DataFrame:
     return events.event_messages(events.read_events(spark, folder))
 
 
-def _message_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return events.event_messages(events.stream_events(spark, folder))
+def _message_stream(spark: SparkSession, folder: str, files: int | None = None) -> DataFrame:
+    return events.event_messages(events.stream_events(spark, folder, files))
 
 
 def _gold(spark: SparkSession, folder: str) -> DataFrame:
@@ -212,8 +213,9 @@ def replay_gold_day(spark: SparkSession, folder: str) -> DataFrame:
 def _streamed(spark: SparkSession, folder: str, *layers: medallion.Layer) -> str:
     """Run layers over the whole table as a stream; returns the lake root."""
     root = work_folder(spark, "stream")
+    files = None if medallion.GOLD in layers else FILES_PER_BATCH
     started = medallion.start_medallion(
-        _message_stream(spark, folder), root, events.EVENT_BANDS, live=False, layers=layers
+        _message_stream(spark, folder, files), root, events.EVENT_BANDS, live=False, layers=layers
     )
     runtime.run_to_end(*started.values())
     return root
@@ -227,14 +229,14 @@ def _layer_stream(layer: medallion.Layer, *rounded: str) -> Query:
     return query
 
 
-def _silver_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return medallion.silver_rows(_message_stream(spark, folder), events.EVENT_BANDS)
+def _silver_stream(spark: SparkSession, folder: str, files: int | None = None) -> DataFrame:
+    return medallion.silver_rows(_message_stream(spark, folder, files), events.EVENT_BANDS)
 
 
 def running_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Complete mode: totals per symbol, written whole after every batch."""
     root = work_folder(spark, "running")
-    totals = windows.running_stats(_silver_stream(spark, folder))
+    totals = windows.running_stats(_silver_stream(spark, folder, FILES_PER_BATCH))
     runtime.run_to_end(
         runtime.start_snapshots(totals, "running_stats", f"{root}/out", f"{root}/checkpoint")
     )

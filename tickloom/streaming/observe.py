@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +43,9 @@ def checkpoint_files(spark: SparkSession, checkpoint: str) -> DataFrame:
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(checkpoint)
     )
-    inside = F.element_at(F.split("path", F.lit(checkpoint.rstrip("/") + "/"), -1), -1)
+    # Listed paths carry scheme and host, whether or not the given one does.
+    bare = re.sub(r"^[A-Za-z0-9]+:(//[^/]*)?", "", checkpoint.rstrip("/")) + "/"
+    inside = F.substring(F.col("path"), F.instr("path", bare) + len(bare), F.length("path"))
     return files.select(
         F.element_at(F.split(inside, "/"), 1).alias("folder"),
         inside.alias("file"),
