@@ -70,4 +70,5 @@ def test_calendar_sums_agree_with_the_full_star(written):
     plain = star.full_star(*tables).groupBy(*labels).agg(
         F.round(F.sum("volume"), 2).alias("total_volume"), F.count(F.lit(1)).alias("n_ticks")
     )
-    assert values(star.volume_by_calendar(*tables)) == values(plain, *labels)
+    for limit in (10**9, 0):
+        assert values(star.volume_by_calendar(*tables, broadcast_bytes=limit)) == values(plain, *labels)

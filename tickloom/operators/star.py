@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.clock import calendar_parts
 from tickloom.functions.pairs import split_pair
-from tickloom.operators.lookup import lookup_join
+from tickloom.operators.lookup import BROADCAST_BYTES, lookup_join, measured_bytes
 from tickloom.sources.schemas import DIM_MARKET, MARKET_ROWS
 from tickloom.sources.tables import write_table
 
@@ -90,21 +90,29 @@ def full_star(
 
 
 def volume_by_calendar(
-    facts: DataFrame, times: DataFrame, symbols: DataFrame, markets: DataFrame
+    facts: DataFrame,
+    times: DataFrame,
+    symbols: DataFrame,
+    markets: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Volume and tick count per venue, asset pair, weekday and hour, over the full star.
 
-    Each join is preceded by a sum over its key, so the joins see reduced rows only. Give the
-    written facts: in facts still being computed the market key is a literal, and a join on
-    a literal is planned as a cross join.
+    A small ``dim_time`` is broadcast, and the facts are summed by the hour where they are.
+    One that is too big for that is joined after a sum per second, so that no second is hot.
+    The other joins see a few sums per symbol. Give the written facts: in facts still being
+    computed the market key is a literal, and a join on a literal is planned as a cross join.
     """
     measures = [F.sum("volume").alias("volume"), F.sum("ticks").alias("ticks")]
     keys = ["symbol_key", "market_key"]
     clock = ["weekday", "hour"]
-    by_second = (
-        facts.withColumn("ticks", F.lit(1)).groupBy("time_key", *keys).agg(*measures)
-    )
-    by_hour = by_second.join(times, "time_key").groupBy(*clock, *keys).agg(*measures)
+    counted = facts.select("time_key", *keys, "volume", F.lit(1).alias("ticks"))
+    hours = times.select("time_key", *clock)
+    if measured_bytes(hours) <= broadcast_bytes:
+        timed = counted.join(F.broadcast(hours), "time_key")
+    else:
+        timed = counted.groupBy("time_key", *keys).agg(*measures).join(hours, "time_key")
+    by_hour = timed.groupBy(*clock, *keys).agg(*measures)
     labels = ["exchange", "venue_type", "settlement_currency", "base_asset", "quote_asset"]
     return (
         by_hour.join(symbols, "symbol_key")
