@@ -1,0 +1,113 @@
+import numpy as np
+import pytest
+
+from tickloom.llm.near_vectors import near_vectors
+from tickloom.llm.neighbours import hadamard, nearest
+
+VECTORS = "vec_id long, embedding array<float>, label int, node string, links string"
+ODD = [(901, None, 1), (902, [0.0] * 8, 1), (903, [float("nan")] + [1.0] * 7, 1), (904, [None] + [1.0] * 7, 1), (905, [float("inf")] + [1.0] * 7, 1), (906, [1.0] * 8, None), (None, [1.0] * 8, 1)]
+
+
+def cloud(seed=3, n=300, size=8):
+    """Vectors in tight groups of one to forty, some exact copies, labels that cut through groups."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(40, size))
+    rows = [centres[k % 40 if k % 3 else 0] * rng.uniform(0.5, 2) + rng.normal(scale=0.08, size=size) for k in range(n)]
+    rows[10], rows[20], rows[30] = rows[5], rows[5], rows[5]
+    return [(k, np.float32(r).tolist(), k % 2) for k, r in enumerate(rows)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*row, "clash", "clash") for row in rows], VECTORS)
+
+
+def brute_links(rows, cosine):
+    parts = {i: (np.array(v, float), lab) for i, v, lab in rows if i is not None and lab is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(np.array(v) != 0)}
+    unit = {i: v / np.linalg.norm(v) for i, (v, _) in parts.items()}
+    links = {i: {j for j in parts if j != i and parts[i][1] == parts[j][1] and unit[i] @ unit[j] >= cosine} for i in parts}
+    result = {}
+    for i, _, _ in rows:
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links.get(todo.pop(), ()):
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        least = i if i is None else min(seen)
+        result[i] = (len(links.get(i, ())), least, i is None or least == i)
+    return result
+
+
+@pytest.mark.parametrize("cosine", [0.98, 0.9])
+@pytest.mark.parametrize("chunk", [2048, 16])
+def test_near_vectors_equal_all_pairs(spark, monkeypatch, cosine, chunk):
+    from tickloom.llm import near_vectors as module
+
+    monkeypatch.setattr(module, "CHUNK", chunk)
+    rows = cloud() + ODD
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(frame(spark, rows), cosine, blocks=4).collect()}
+    assert got == brute_links(rows, cosine)
+
+
+def test_repeated_rows_and_empty_table(spark):
+    rows = cloud()[:20] * 2
+    got = near_vectors(frame(spark, rows)).collect()
+    assert len(got) == 40
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute_links(rows[:20], 0.98)
+    assert near_vectors(frame(spark, [])).count() == 0
+    assert near_vectors(frame(spark, ODD[:6])).filter("n_links > 0").count() == 0
+
+
+def brute_nearest(rows, queries, k):
+    ok = {i: np.array(v, float) for i, v, _ in rows if i is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(np.array(v) != 0)}
+    out = {}
+    for q in queries:
+        scored = sorted((-float(np.sum(ok[q] * v)), i) for i, v in ok.items() if i != q)
+        out[q] = [(i, -s) for s, i in scored[:k]]
+    return out
+
+
+def test_every_bucket_probed_is_exact(spark):
+    rows = cloud() + ODD
+    index = frame(spark, rows)
+    found = nearest(index, index.filter("vec_id % 20 = 0"), 5, tables=1, probes=32)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(got[r.query_id])
+    expected = brute_nearest(rows, [q for q in range(0, 300, 20)], 5)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in expected.items()}
+    assert all(abs(s - t) < 1e-12 for q in got for (_, s), (_, t) in zip(got[q], expected[q]))
+
+
+def test_recall(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding, r.label) for r in vectors.collect()]
+    queries = [i for i, _, _ in rows if i % 20 == 0]
+    found = nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20).collect()
+    got = {q: {r.vec_id for r in found if r.query_id == q} for q in queries}
+    expected = brute_nearest(rows, queries, 20)
+    assert all(len(got[q]) == 20 for q in queries)
+    assert np.mean([len(got[q] & {i for i, _ in expected[q]}) / 20 for q in queries]) >= 0.9
+
+
+def test_small_cells_and_blocks_change_nothing(spark, monkeypatch):
+    from tickloom.llm import neighbours
+
+    index = frame(spark, cloud())
+    before = sorted(nearest(index, index.filter("vec_id % 10 = 0"), 5).collect())
+    monkeypatch.setattr(neighbours, "CELL_VECTORS", 7)
+    monkeypatch.setattr(neighbours, "CELL_QUERIES", 11)
+    assert sorted(nearest(index, index.filter("vec_id % 10 = 0"), 5).collect()) == before
+
+
+def test_few_or_no_rows(spark):
+    index = frame(spark, cloud()[:3])
+    assert nearest(index, index, 20).count() == 6
+    assert nearest(index, index.limit(0), 20).count() == 0
+    assert nearest(frame(spark, ODD[:2]), index, 20).count() == 0
+
+
+def test_hadamard():
+    matrix = hadamard(np.eye(8))
+    assert np.allclose(matrix @ matrix.T, np.eye(8)) and np.allclose(np.abs(matrix), 8**-0.5)
