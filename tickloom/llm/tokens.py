@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST_PIECES = 1 << 18
+MOST_PIECES = 1 << 19
+MARKS = (",", ".")
 
 
 class PieceEncoder:
@@ -35,9 +37,7 @@ class PieceEncoder:
         pieces = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = pieces.flatten().dictionary_encode()
         code = self._codes(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        size = self.size[code]
-        start = np.repeat(self.first[code] - np.cumsum(size) + size, size)
-        ids = self.ids[start + np.arange(size.sum())]
+        ids, size = self._gathered(code)
         ends = np.cumsum(pc.list_value_length(pieces).to_numpy(zero_copy_only=False), dtype=np.int64)
         total = np.concatenate([[0], np.cumsum(size)])
         return ids, np.diff(total[np.concatenate([[0], ends])])
@@ -47,16 +47,36 @@ class PieceEncoder:
             self._forget()
         new = [piece for piece in pieces if piece not in self.known]
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, size.sum())
-            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.ids = np.concatenate([self.ids, flat])
-            at = len(self.known)
-            self.known.update(zip(new, range(at, at + len(new))))
+            # case goes anyway, but in the names of special tokens; letters and a mark are two words
+            plain = [piece.lower() if piece.isascii() and "<" not in piece else piece for piece in new]
+            stems = [piece[:-1] if piece.endswith(MARKS) and piece[:-1].isalpha() else piece for piece in plain]
+            self._learn([stem for stem in dict.fromkeys([*stems, *MARKS]) if stem not in self.known])
+            code = np.fromiter((self.known[stem] for stem in stems), np.int64, len(stems))
+            marked = np.fromiter((len(s) < len(p) for s, p in zip(stems, plain)), bool, len(stems))
+            mark = np.array([self.known[plain[k][-1]] for k in np.flatnonzero(marked)], np.int64)
+            ids, size = self._gathered(np.stack([code[marked], mark], axis=1).ravel())
+            code[marked] = self._add(ids, size.reshape(-1, 2).sum(axis=1))
+            self.known.update(zip(new, code.tolist()))
         return np.fromiter((self.known[piece] for piece in pieces), np.int64, len(pieces))
 
+    def _learn(self, pieces: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        code = self._add(np.fromiter(chain.from_iterable(found), np.uint32, size.sum()), size)
+        self.known.update(zip(pieces, code.tolist()))
+
+    def _add(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        code = len(self.size) + np.arange(len(size))
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids])
+        return code
+
+    def _gathered(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.size[code]
+        start = np.repeat(self.first[code] - np.cumsum(size) + size, size)
+        return self.ids[start + np.arange(size.sum())], size
+
 
 @cache
 def encoder(path: str) -> PieceEncoder:
