@@ -14,7 +14,7 @@ from tickloom.llm.tables import text_slices, texts_of
 
 SPACE = "▁"
 NONE, FALLBACK = -1, -2
-MOST_UNITS = 1 << 17
+MOST_UNITS = 1 << 18
 MOST_PAIRS = 1 << 20
 
 
@@ -48,8 +48,11 @@ class PieceTransducer:
             else:
                 self.ids[piece], self.score[piece] = i, model.get_score(i)
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
+        if missing := {c for piece in self.ids for c in piece} - self.ids.keys():
+            raise ValueError(f"characters of pieces that are no pieces: {sorted(missing)[:5]}")
         self.by_units = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.longest = max(map(len, self.ids))
+        # the arcs as a prefix tree: a piece has its id, a mere beginning of pieces NONE
+        self.arcs = {piece[:k]: NONE for piece in self.ids for k in range(1, len(piece))} | self.ids
         self.pieces = {i: p for p, i in self.ids.items()}
         self.apart: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
@@ -92,21 +95,23 @@ class PieceTransducer:
 
     def shortest_path(self, unit: str) -> list[int]:
         """The arcs of the only path of finite weight through the unit composed with the transducer."""
-        n, ids, longest = len(unit), self.ids, self.longest
+        n, arcs, apart = len(unit), self.arcs, self.apart
         state, back = [None] * (n + 1), [0] * (n + 1)
         state[0] = NONE
         for i in range(n):
             last = state[i]
             if last is None:
                 continue
-            for j in range(i + 1, min(n, i + longest) + 1):
-                piece = ids.get(unit[i:j])
+            for j in range(i + 1, n + 1):
+                piece = arcs.get(unit[i:j])
                 if piece is None:
                     if j == i + 1:
                         state[j], back[j] = FALLBACK, i
-                        break
-                elif state[j] is None and self._stay_apart(last, piece):
-                    state[j], back[j] = piece, i
+                    break
+                if piece >= 0 and state[j] is None:
+                    free = apart.get((last, piece))
+                    if self._stay_apart(last, piece) if free is None else free:
+                        state[j], back[j] = piece, i
         path, end = [], n
         while end:
             start = back[end]
@@ -119,12 +124,10 @@ class PieceTransducer:
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Whether merging the two texts together gives just these two pieces."""
-        found = self.apart.get((left, right))
-        if found is None:
-            if len(self.apart) >= MOST_PAIRS:
-                self.apart.clear()
-            pair = [p for p in (self.pieces.get(left), self.pieces[right]) if p is not None]
-            found = self.apart[left, right] = self.merged("".join(pair)) == pair
+        if len(self.apart) >= MOST_PAIRS:
+            self.apart.clear()
+        pair = [p for p in (self.pieces.get(left), self.pieces[right]) if p is not None]
+        found = self.apart[left, right] = self.merged("".join(pair)) == pair
         return found
 
     def merged(self, text: str) -> list[str]:
