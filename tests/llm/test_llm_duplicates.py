@@ -65,7 +65,7 @@ def frame(spark, rows):
     return spark.createDataFrame([(*row, "clash", "clash", "clash") for row in rows], DOCS)
 
 
-@pytest.mark.parametrize("pivots", [16, 1])
+@pytest.mark.parametrize("pivots", [64, 1])
 def test_classes_equal_all_pairs(spark, monkeypatch, pivots):
     monkeypatch.setattr(minhash, "PIVOTS", pivots)
     rows = corpus()

@@ -19,7 +19,8 @@ SIMILARITY = 0.8
 #: Pairs whose signatures agree less than this are not verified: at a similarity of 0.8 the share of
 #: equal registers of 120 is below it once in about 10 million pairs.
 LEAST_AGREEMENT = 0.6
-PIVOTS = 16
+#: Documents of a bucket that are compared with the rest of it in a round, those of small classes first.
+PIVOTS = 64
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -31,8 +32,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Documents with the same words in the same order (case and punctuation aside) are one class before
     anything is compared. Candidates share a band of their signatures. A bucket is searched from its
-    smallest document, then from its next ones, until its rest is in one class, so no bucket is
-    expanded to all pairs and none is capped.
+    smallest document; if that leaves it in several classes, round by round from the documents of its
+    smaller classes, each compared with those of other classes, until the rest is in one class. So no
+    bucket is expanded to all pairs and none is capped.
 
     A text that is null or has no word is alone in its class. A row whose ``doc_id`` is null gets a
     null class and is kept. Rows that share a ``doc_id`` share a class.
@@ -124,41 +126,33 @@ def prob_min_hash(
 
 def _links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """Verified links ``(a, b)`` that connect whatever any pair of a bucket connects."""
-    spark = docs.sparkSession
     banded = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     shared = banded.groupBy("band", "hash").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n"))
     buckets = written(banded.join(shared.filter("n > 1").drop("n"), ["band", "hash"]), "buckets")
     pairs = buckets.filter("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = spark.createDataFrame([], "a long, b long")
-    done = buckets.select("band", "hash", F.col("pivot").alias("last")).distinct()
-    members = buckets.drop("pivot")
+    members = buckets.filter("node > pivot").select("band", "hash", "node")
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
     while True:
-        found = written(_verified(docs, nodes, pairs, similarity), "verified")
-        links = links.unionByName(found)
-        classes = connected_components(links)
-        open_members = (
-            members.join(done, ["band", "hash"])
-            .filter("node > last")
-            .join(classes, "node", "left")
-            .withColumn("class", F.coalesce("component", "node"))
-            .select("band", "hash", "node", "class")
+        found = _verified(docs, nodes, pairs, similarity)
+        classes = written(connected_components(links.unionByName(found)), "classes")
+        links = classes.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        classed = members.join(classes, "node", "left").select(
+            "band", "hash", "node", F.coalesce("component", "node").alias("class")
         )
-        split = open_members.groupBy("band", "hash").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        split = split.filter("low < high").select("band", "hash")
-        members = written(open_members.join(split, ["band", "hash"]), "open")
-        if members.isEmpty():
+        sizes = classed.groupBy("band", "hash", "class").agg(F.count(F.lit(1)).alias("size"))
+        split = sizes.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        parted = written(sizes.join(split, ["band", "hash"]), "parted")
+        if parted.isEmpty():
             return links
-        in_order = Window.partitionBy("band", "hash").orderBy("node")
-        pivots = members.withColumn("k", F.row_number().over(in_order)).filter(F.col("k") <= PIVOTS)
-        pivots = written(pivots.select("band", "hash", F.col("node").alias("a"), F.col("class").alias("of")), "pivots")
-        pairs = (
-            members.join(pivots, ["band", "hash"])
-            .filter("node > a AND class <> of")
-            .select("a", F.col("node").alias("b"))
-            .distinct()
-        )
-        done = pivots.groupBy("band", "hash").agg(F.max("a").alias("last"))
-        members = members.select("band", "hash", "node")
+        small_first = Window.partitionBy("band", "hash").orderBy("size", "class", "node")
+        ranked = classed.join(parted, ["band", "hash", "class"])
+        ranked = written(ranked.withColumn("k", F.row_number().over(small_first)), "ranked")
+        pivots = ranked.filter(F.col("k") <= PIVOTS)
+        pivots = pivots.select("band", "hash", F.col("node").alias("pivot"), F.col("class").alias("of"), F.col("k").alias("j"))
+        # two pivots meet once
+        met = ranked.join(pivots, ["band", "hash"]).filter("class <> of AND (k > j)")
+        pairs = met.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+        members = ranked.filter(F.col("k") > PIVOTS).select("band", "hash", "node")
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
