@@ -49,15 +49,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_mark: int = DOCS_PER_MA
     Null labels are left out; without documents of both marks: None.
     """
     marks = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    labelled = docs.select("doc_id", "text").filter("text IS NOT NULL").join(marks, "doc_id")
     sizes = {row["toxic"]: row["count"] for row in marks.groupBy((F.col("toxic") > 0).alias("toxic")).count().collect()}
     if len(sizes) < 2:
         return None
     shares = {mark: min(1.0, per_mark / n) for mark, n in sizes.items()}
     chance = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     toxic = F.col("toxic") > 0
-    sample = labelled.filter(chance < F.when(toxic, shares[True]).otherwise(shares[False]))
-    sample = written(sample.select("doc_id", "text", toxic.cast("long").alias("toxic")), "labelled")
+    chosen = marks.filter(chance < F.when(toxic, shares[True]).otherwise(shares[False]))
+    # about 2 * per_mark ids, whatever the size of the tables
+    texts = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    sample = written(texts.select("doc_id", "text", toxic.cast("long").alias("toxic")), "labelled")
     n_toxic, n = sample.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     if not n_toxic or n_toxic == n:
         return None
