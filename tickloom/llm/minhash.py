@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +18,11 @@ from tickloom.llm.tables import mixed, text_slices, uniform, written
 BANDS, ROWS = 24, 5
 SIMILARITY = 0.8
 #: Pairs whose signatures agree less than this are not verified: at a similarity of 0.8 the share of
-#: equal registers of 120 is below it once in about 10 million pairs.
-LEAST_AGREEMENT = 0.6
-#: Documents of a bucket that are compared with the rest of it in a round, those of small classes first.
-PIVOTS = 64
+#: equal registers of 120 is below it in about one of 40,000 pairs.
+LEAST_AGREEMENT = 0.65
+#: Documents of a bucket that are compared with the rest of it in a round: first a few of its largest
+#: class, which take in most of the rest, and from the round ``LARGE_ROUNDS`` on those of small classes.
+LARGE_PIVOTS, LARGE_ROUNDS, PIVOTS = 3, 2, 64
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -32,9 +34,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Documents with the same words in the same order (case and punctuation aside) are one class before
     anything is compared. Candidates share a band of their signatures. A bucket is searched from its
-    smallest document; if that leaves it in several classes, round by round from the documents of its
-    smaller classes, each compared with those of other classes, until the rest is in one class. So no
-    bucket is expanded to all pairs and none is capped.
+    smallest document; if that leaves it in several classes, round by round from a few documents of its
+    largest class and then those of its smaller ones, each compared with those of other classes, until
+    the rest is in one class. So no bucket is expanded to all pairs and none is capped.
 
     A text that is null or has no word is alone in its class. A row whose ``doc_id`` is null gets a
     null class and is kept. Rows that share a ``doc_id`` share a class.
@@ -132,7 +134,7 @@ def _links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     pairs = buckets.filter("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     members = buckets.filter("node > pivot").select("band", "hash", "node")
     links = docs.sparkSession.createDataFrame([], "a long, b long")
-    while True:
+    for turn in count():
         found = _verified(docs, nodes, pairs, similarity)
         classes = written(connected_components(links.unionByName(found)), "classes")
         links = classes.select(F.col("component").alias("a"), F.col("node").alias("b"))
@@ -144,15 +146,16 @@ def _links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
         parted = written(sizes.join(split, ["band", "hash"]), "parted")
         if parted.isEmpty():
             return links
-        small_first = Window.partitionBy("band", "hash").orderBy("size", "class", "node")
+        order, pivots_each = ("size", PIVOTS) if turn >= LARGE_ROUNDS else (F.desc("size"), LARGE_PIVOTS)
+        in_order = Window.partitionBy("band", "hash").orderBy(order, "class", "node")
         ranked = classed.join(parted, ["band", "hash", "class"])
-        ranked = written(ranked.withColumn("k", F.row_number().over(small_first)), "ranked")
-        pivots = ranked.filter(F.col("k") <= PIVOTS)
+        ranked = written(ranked.withColumn("k", F.row_number().over(in_order)), "ranked")
+        pivots = ranked.filter(F.col("k") <= pivots_each)
         pivots = pivots.select("band", "hash", F.col("node").alias("pivot"), F.col("class").alias("of"), F.col("k").alias("j"))
         # two pivots meet once
         met = ranked.join(pivots, ["band", "hash"]).filter("class <> of AND (k > j)")
         pairs = met.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
-        members = ranked.filter(F.col("k") > PIVOTS).select("band", "hash", "node")
+        members = ranked.filter(F.col("k") > pivots_each).select("band", "hash", "node")
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -198,14 +201,16 @@ def _shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, elements, counts = shingle_counts(hashes, owner)
         cuts = np.searchsorted(texts, np.arange(n + 1))
         spans = list(zip(cuts[:-1], cuts[1:]))
-        counts = counts.astype(np.uint32)
+        # 32 bits of the hashes, sorted; counts are left out where all are 1
+        order = np.lexsort((elements.astype(np.uint32), texts))
+        elements, counts = elements[order].astype(np.uint32), counts[order].astype(np.uint32)
         yield pa.record_batch(
             [
                 batch.column("doc_id").cast(pa.int64()),
                 pa.array(key_a),
                 pa.array(key_b),
                 pa.array([elements[i:j].tobytes() for i, j in spans], pa.binary()),
-                pa.array([counts[i:j].tobytes() for i, j in spans], pa.binary()),
+                pa.array([b"" if (counts[i:j] == 1).all() else counts[i:j].tobytes() for i, j in spans], pa.binary()),
             ],
             ["node", "key_a", "key_b", "elements", "counts"],
         )
@@ -214,22 +219,20 @@ def _shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _similar(least: float):
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [
-                probability_jaccard(
-                    *(np.frombuffer(row[f"elements_{s}"], np.uint64) for s in "ab"),
-                    *(np.frombuffer(row[f"counts_{s}"], np.uint32).astype(float) for s in "ab"),
-                )
-                >= least
-                for row in batch.to_pylist()
-            ]
+            keep = [probability_jaccard(*_weighted(row, "a"), *_weighted(row, "b")) >= least for row in batch.to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return similar
 
 
-def probability_jaccard(a: np.ndarray, b: np.ndarray, weight_a: np.ndarray, weight_b: np.ndarray) -> float:
+def _weighted(row: dict, side: str) -> tuple[np.ndarray, np.ndarray]:
+    elements, counts = np.frombuffer(row[f"elements_{side}"], np.uint32), row[f"counts_{side}"]
+    return elements, np.frombuffer(counts, np.uint32).astype(float) if counts else np.ones(len(elements))
+
+
+def probability_jaccard(a: np.ndarray, weight_a: np.ndarray, b: np.ndarray, weight_b: np.ndarray) -> float:
     """Similarity of two weighted sets, given as sorted elements and their weights."""
-    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    _, at_a, at_b = np.intersect1d(a, b, return_indices=True)
     x, y = weight_a[at_a], weight_b[at_b]
     only_a, only_b = weight_a.sum() - x.sum(), weight_b.sum() - y.sum()
     order = np.argsort(x / y, kind="stable")
