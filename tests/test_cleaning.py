@@ -128,3 +128,9 @@ def test_price_filter_reaches_the_file(spark, folder):
     ticks(spark, [(s, p, v, t) for s, p, v, t in ROWS]).write.parquet(f"{folder}/t")
     pushed = pushed_filters(clean_ticks(spark.read.parquet(f"{folder}/t"), BANDS))
     assert any("GreaterThan(price,0.0)" in text and "GreaterThanOrEqual(volume,0.0)" in text for text in pushed)
+
+
+def test_ticks_without_a_whole_key_repeat_nothing(spark):
+    rows = [("A", 1.0, 1.0, None), ("A", 1.0, 1.0, None), (None, 2.0, 1.0, 5), (None, 2.0, 1.0, 5), ("A", 1.0, 1.0, 5), ("A", 1.0, 1.0, 5)]
+    sent = spark.createDataFrame(rows, "symbol string, price double, volume double, timestamp long")
+    assert drop_repeats(sent).count() == 5

@@ -34,6 +34,8 @@ def test_layers_then_reports(spark, lake, capfd):
     lake("compact", "--layer", "silver", "--target", f"{lake.folder}/merged")
     lake("replay", "--layer", "silver", "--target", f"{lake.folder}/merged", "--day", "2024-01-01")
     assert spark.read.parquet(f"{lake.folder}/merged").count() == 45  # bronze keeps the repeats
+    lake("replay", "--layer", "silver", "--target", f"{lake.folder}/merged", "--day", "2024-01-01", "--once")
+    assert spark.read.parquet(f"{lake.folder}/merged").count() == 25  # as the layer was written
 
 
 def test_console_latency_and_offsets(lake, capfd):

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.functions.bands import LOWER_RATIO, UPPER_RATIO, PriceBands
 from tickloom.operators import maintenance, olap, star, windows
 from tickloom.operators.cleaning import clean_ticks
 from tickloom.operators.ticks import decode_messages, encode_messages, normalise_payloads
@@ -47,7 +48,10 @@ def _wait(spark: SparkSession, queries: Sequence, live: bool) -> None:
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     """Turn files of API answers, one JSON text per line, into messages."""
     payloads = spark.read.text(args.payloads).withColumnRenamed("value", "payload")
-    write_messages(encode_messages(normalise_payloads(payloads)), args.servers, args.topic)
+    rows = normalise_payloads(payloads)
+    named = rows.filter("symbol IS NOT NULL")
+    print(f"skipped {rows.count() - named.count()} lines that are no answers")
+    write_messages(encode_messages(named), args.servers, args.topic)
 
 
 def layers(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -148,7 +152,8 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
     """Compute a day of silver or gold again, into the batch-owned table at ``--target``."""
     redo = {"silver": maintenance.replay_silver_day, "gold": maintenance.replay_gold_day}[args.layer]
-    redo(spark, medallion.BRONZE.path(args.root), args.target, args.day)
+    bands = PriceBands(lower=args.lower_ratio, upper=args.upper_ratio)
+    redo(spark, medallion.BRONZE.path(args.root), args.target, args.day, bands, once=args.once)
 
 
 STREAMS = {"layers": layers, "console": console, "latency": latency, "offsets": offsets}
@@ -196,6 +201,9 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--layer", choices=choices, required=True)
         job.add_argument("--target", required=True)
     job.add_argument("--day", type=dt.date.fromisoformat, required=True)
+    job.add_argument("--once", action="store_true", help="drop repeated ticks, as the layer does")
+    job.add_argument("--lower-ratio", type=float, default=LOWER_RATIO)
+    job.add_argument("--upper-ratio", type=float, default=UPPER_RATIO)
     return root
 
 

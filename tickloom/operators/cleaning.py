@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.bands import (
@@ -44,12 +44,21 @@ def clean_with_anchor_table(
     return kept.select(*ticks.columns)
 
 
+def has_whole_key() -> Column:
+    """A tick with a NULL in its key cannot be told to repeat another one."""
+    symbol, timestamp = (F.col(name).isNotNull() for name in REPEAT_KEY)
+    return symbol & timestamp
+
+
 def drop_repeats(ticks: DataFrame) -> DataFrame:
     """One tick per ``(symbol, timestamp)``, for messages a producer sent more than once.
 
     Where repeats disagree the lowest price, then the lowest volume is kept, so a task that
     runs again cannot change the result. Repeats are merged before the shuffle, and only the
-    four raw columns travel.
+    four raw columns travel. Ticks with a NULL in the key are all kept.
     """
-    kept = ticks.groupBy(*REPEAT_KEY).agg(F.min(F.struct("price", "volume")).alias("kept"))
-    return add_event_time(kept.select("symbol", "kept.price", "kept.volume", "timestamp"))
+    raw = ticks.select("symbol", "price", "volume", "timestamp")
+    keyed = raw.filter(has_whole_key()).groupBy(*REPEAT_KEY)
+    kept = keyed.agg(F.min(F.struct("price", "volume")).alias("kept"))
+    once = kept.select("symbol", "kept.price", "kept.volume", "timestamp")
+    return add_event_time(once.unionByName(raw.filter(~has_whole_key())))

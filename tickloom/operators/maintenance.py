@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.functions.bands import PriceBands
-from tickloom.operators.cleaning import clean_ticks
-from tickloom.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS, sliding_average
+from tickloom.operators.cleaning import clean_ticks, drop_repeats
+from tickloom.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS, closed_windows, sliding_average
 from tickloom.session import settings
 from tickloom.sources.tables import has_sink_log, overwrite_folder, read_table, write_table
 
@@ -59,15 +59,26 @@ def _replace_day(
     overwrite_folder(out, f"{table}/{column}={day.isoformat()}", inner, [order])
 
 
+def _clean(ticks: DataFrame, bands: PriceBands, once: bool) -> DataFrame:
+    clean = clean_ticks(ticks, bands)
+    return drop_repeats(clean) if once else clean
+
+
 def replay_silver_day(
-    spark: SparkSession, bronze: str, table: str, day: dt.date, bands: PriceBands = PriceBands()
+    spark: SparkSession,
+    bronze: str,
+    table: str,
+    day: dt.date,
+    bands: PriceBands = PriceBands(),
+    once: bool = False,
 ) -> None:
     """Filter one day of bronze again, after a change of rule.
 
-    Only that day's bronze folder is read. If the job dies half way, run it again.
+    Give ``once`` if the layer was written with it: bronze keeps repeats. Only that day's bronze folder
+    is read. If the job dies half way, run it again.
     """
     ticks = spark.read.parquet(bronze).filter(F.col("ingest_date") == F.lit(day))
-    _replace_day(clean_ticks(ticks, bands), table, "ingest_date", day, ["symbol"], "event_time")
+    _replace_day(_clean(ticks, bands, once), table, "ingest_date", day, ["symbol"], "event_time")
 
 
 def replay_gold_day(
@@ -78,15 +89,22 @@ def replay_gold_day(
     bands: PriceBands = PriceBands(),
     size: int = WINDOW_SECONDS,
     slide: int = SLIDE_SECONDS,
+    once: bool = False,
+    final: bool = True,
 ) -> None:
     """Compute the windows that start on one day again.
 
-    The last of them reach into the next day, so two bronze folders are read.
+    The last of them reach into the next day, so two bronze folders are read. Windows that the newest
+    clean tick of all bronze leaves open are not final and stay out, as they do in the layer; with
+    ``final=False`` they are written too, for a table that has them.
     """
+    clean = clean_ticks(spark.read.parquet(bronze), bands)
     reach = day + dt.timedelta(days=1 + size // 86400)
     ticks = spark.read.parquet(bronze).filter(
         F.col("ingest_date").between(F.lit(day), F.lit(reach))
     )
-    windows = sliding_average(clean_ticks(ticks, bands), size, slide)
+    windows = sliding_average(_clean(ticks, bands, once), size, slide)
+    if final:
+        windows = closed_windows(windows, clean)
     rows = windows.filter(F.col("window_date") == F.lit(day))
     _replace_day(rows, table, "window_date", day, [], "window_start")

@@ -7,6 +7,7 @@ below the shared working folder and return what they read back.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -153,10 +154,11 @@ def star_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_view(spark: SparkSession, folder: str) -> DataFrame:
-    tables.name_view(_silver(spark, folder), "silver_ticks")
+    view = f"silver_ticks_{uuid.uuid4().hex}"
+    tables.name_view(_silver(spark, folder), view)
     return spark.sql(
         "SELECT symbol, round(avg(price), 6) AS avg_price, count(*) AS n_ticks"
-        " FROM silver_ticks GROUP BY symbol"
+        f" FROM {view} GROUP BY symbol"
     )
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tickloom.operators.cleaning import REPEAT_KEY
+from tickloom.operators.cleaning import REPEAT_KEY, has_whole_key
 from tickloom.operators.windows import LATENESS_SECONDS
 
 
@@ -16,13 +17,16 @@ def drop_repeats_stream(ticks: DataFrame, lateness: int = LATENESS_SECONDS) -> D
 
     Keys are remembered for ``lateness`` seconds of event time. The stateful operator takes
     every row to the task of its key, so a message repeated very often would load one task:
-    copies inside an Arrow batch are therefore merged before that shuffle.
+    copies inside an Arrow batch are therefore merged before that shuffle. A tick with a NULL in its
+    key is not a repeat and passes. Ticks later than ``lateness`` are dropped, as the operator does.
     """
-    return (
-        ticks.mapInArrow(merge_copies(REPEAT_KEY), ticks.schema)
+    once = (
+        ticks.filter(has_whole_key())
+        .mapInArrow(merge_copies(REPEAT_KEY), ticks.schema)
         .withWatermark("event_time", f"{lateness} seconds")
         .dropDuplicatesWithinWatermark(list(REPEAT_KEY))
     )
+    return once.unionByName(ticks.filter(~has_whole_key()))
 
 
 def merge_copies(key: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -35,8 +39,9 @@ def merge_copies(key: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], I
     def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = {name: batch.column(name) for name in key}
-            numbered = pa.table({**columns, "row": pa.array(range(batch.num_rows), pa.int64())})
+            numbered = pa.table({**columns, "row": pa.array(np.arange(batch.num_rows))})
             first = numbered.group_by(list(key)).aggregate([("row", "min")])
-            yield batch.take(first.column("row_min").combine_chunks().sort())
+            repeats = first.num_rows < batch.num_rows
+            yield batch.take(first.column("row_min").combine_chunks().sort()) if repeats else batch
 
     return first_rows

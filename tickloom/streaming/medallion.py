@@ -9,13 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.bands import PriceBands
-from tickloom.operators.cleaning import clean_ticks
+from tickloom.operators.cleaning import clean_ticks, clean_with_anchor_table
 from tickloom.operators.ticks import decode_messages
-from tickloom.operators.windows import LATENESS_SECONDS, sliding_average_stream
+from tickloom.operators.windows import LATENESS_SECONDS, WINDOW_SECONDS, sliding_average_stream
 from tickloom.streaming.dedup import drop_repeats_stream
 from tickloom.streaming.runtime import start_table
 
 
+#: Silver remembers ticks for a day, so that a late one is only dropped when later than that.
+SILVER_MEMORY_SECONDS = 86_400
+#: Gold must let every tick pass that an open window could still take in.
+GOLD_MEMORY_SECONDS = LATENESS_SECONDS + WINDOW_SECONDS
+
+
 @dataclass(frozen=True)
 class Layer:
     """Where a layer lives below the lake root, and how it is written."""
@@ -69,19 +75,39 @@ def bronze_rows(messages: DataFrame) -> DataFrame:
 
 
 def silver_rows(
-    messages: DataFrame, bands: PriceBands = PriceBands(), once: bool = False
+    messages: DataFrame,
+    bands: PriceBands = PriceBands(),
+    once: bool = False,
+    anchors: DataFrame | None = None,
+    memory: int = SILVER_MEMORY_SECONDS,
 ) -> DataFrame:
-    """Bronze rows that pass the outlier filter; with ``once``, without repeated ticks."""
-    clean = clean_ticks(bronze_rows(messages), bands)
-    return drop_repeats_stream(clean) if once else clean
+    """Bronze rows that pass the outlier filter; with ``once``, without repeated ticks.
+
+    ``anchors (symbol, anchor_price)`` replaces the anchors of ``bands`` and may have any size. Repeats
+    are remembered for ``memory`` seconds; with ``once``, ticks later than that are dropped.
+    """
+    bronze = bronze_rows(messages)
+    if anchors is None:
+        clean = clean_ticks(bronze, bands)
+    else:
+        clean = clean_with_anchor_table(bronze, anchors, bands.lower, bands.upper)
+    return drop_repeats_stream(clean, memory) if once else clean
 
 
 def gold_rows(
-    messages: DataFrame, bands: PriceBands = PriceBands(), once: bool = False
+    messages: DataFrame,
+    bands: PriceBands = PriceBands(),
+    once: bool = False,
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
-    """Sliding averages over silver rows, each window once when it is final."""
-    lateness = None if once else LATENESS_SECONDS  # removing repeats has set the watermark
-    return sliding_average_stream(silver_rows(messages, bands, once), lateness=lateness)
+    """Sliding averages over silver rows, each window once when it is final.
+
+    With ``once`` the watermark is that of removing repeats: windows are final one window length later,
+    and no tick is lost that would have been in a window without it.
+    """
+    lateness = None if once else LATENESS_SECONDS
+    silver = silver_rows(messages, bands, once, anchors, GOLD_MEMORY_SECONDS)
+    return sliding_average_stream(silver, lateness=lateness)
 
 
 def start_medallion(
@@ -92,14 +118,15 @@ def start_medallion(
     state_partitions: int | None = None,
     layers: Sequence[Layer] = LAYERS,
     once: bool = False,
+    anchors: DataFrame | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start one query per layer; each reads the messages at its own pace and can be
     stopped, restarted and resumed alone. ``once`` drops repeated ticks before silver and
     gold; bronze always keeps them."""
     rows = {
         BRONZE: lambda: bronze_rows(messages),
-        SILVER: lambda: silver_rows(messages, bands, once),
-        GOLD: lambda: gold_rows(messages, bands, once),
+        SILVER: lambda: silver_rows(messages, bands, once, anchors),
+        GOLD: lambda: gold_rows(messages, bands, once, anchors),
     }
     return {
         layer.name: layer.start(rows[layer](), root, live, state_partitions) for layer in layers

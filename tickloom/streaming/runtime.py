@@ -11,6 +11,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.session import ROCKSDB, settings
 
+# Reports that a running query keeps; 20 days of batches at one in 20 seconds.
+KEPT_REPORTS = 86_400
 # Columns of the progress table.
 PROGRESS = (
     "query STRING, run_id STRING, batch_id BIGINT, started STRING, input_rows BIGINT,"
@@ -36,7 +38,11 @@ def _start(
     The number of state partitions is fixed when a checkpoint is first used and cannot grow
     later, so a long-lived query should be given it with room to spare.
     """
-    values = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    values = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.numRecentProgressUpdates": str(KEPT_REPORTS),
+    }
     if state_partitions:
         values["spark.sql.shuffle.partitions"] = str(state_partitions)
     with settings(spark, values):
@@ -152,10 +158,7 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
 
 
 def progress_table(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """The recent batches of each query, one row per batch.
-
-    Spark keeps the last hundred reports per query, which bounds the rows.
-    """
+    """The batches of each query since it started, one row per batch, the last ``KEPT_REPORTS``."""
     return spark.createDataFrame(
         [_progress_row(json.loads(report.json)) for query in queries for report in query.recentProgress],
         PROGRESS,
