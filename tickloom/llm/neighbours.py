@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.llm.tables import mixed
+from tickloom.llm.tables import mixed, written
 from tickloom.llm.vectors import dimension, matrix, unit_rows, usable
 
 TABLES, PROBES, ROTATIONS = 12, 24, 3
@@ -34,9 +34,10 @@ def nearest(
     twice the dimension, buckets are finer than the dimension alone would make them.
 
     Neighbouring buckets share a cell, a full bucket has several; a cell meets one block of queries
-    at a time, so a very common vector spreads over cells. Every vector is in every table. Vectors
-    that are null, zero, or not finite take no part; ties go to the smaller ``vec_id``; rows that
-    repeat a ``vec_id`` and its vector count once; an empty side gives no rows.
+    at a time, so a very common vector spreads over cells. What the first table finds bounds the rest:
+    the other tables pass on only what is at least as near as a query's ``k``-th find there. Every vector
+    is in every table. Vectors that are null, zero, or not finite take no part; ties go to the smaller
+    ``vec_id``; rows that repeat a ``vec_id`` and its vector count once; an empty side gives no rows.
     """
     index = index.filter(usable("embedding") & F.col("vec_id").isNotNull()).select("vec_id", "embedding")
     queries = queries.filter(usable("embedding") & F.col("vec_id").isNotNull()).select("vec_id", "embedding")
@@ -50,10 +51,26 @@ def nearest(
     counted = index.mapInArrow(_counted(rotation, longest), "table int, bucket int, n long")
     counts = counted.groupBy("table", "bucket").agg(F.sum("n")).collect()
     layout = Layout(rotation, counts, math.ceil(n_queries / CELL_QUERIES))
-    stored = index.mapInArrow(_stored(rotation, layout, longest), CELL)
-    asked = queries.mapInArrow(_asked(rotation, layout, probes), CELL)
+    unbounded = queries.withColumn("bound", F.lit(float("-inf")))
+    first = written(_ranked(_found(index, unbounded, rotation, layout, longest, probes, k, range(1)), k), "first-table")
+    if tables == 1:
+        return first
+    bounds = first.filter(F.col("rank") == k).groupBy(F.col("query_id").alias("vec_id")).agg(F.min("score").alias("bound"))
+    bounded = queries.join(bounds, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+    found = _found(index, bounded, rotation, layout, longest, probes, k, range(1, tables))
+    return _ranked(first.drop("rank").unionByName(found), k)
+
+
+def _found(
+    index: DataFrame, queries: DataFrame, rotation: Rotations, layout: Layout, longest: float, probes: int, k: int, tables: range
+) -> DataFrame:
+    stored = index.mapInArrow(_stored(rotation, layout, longest, tables), CELL)
+    asked = queries.mapInArrow(_asked(rotation, layout, probes, tables), f"{CELL}, bound double")
     key = ["cell", "block"]
-    found = stored.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(_best_of_cell(k), FOUND)
+    return stored.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(_best_of_cell(k), FOUND)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     once = found.dropDuplicates(["query_id", "vec_id"])
     best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = once.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
@@ -149,13 +166,14 @@ def _counted(rotation: Rotations, longest: float):
     return count
 
 
-def _stored(rotation: Rotations, layout: Layout, longest: float):
+def _stored(rotation: Rotations, layout: Layout, longest: float, tables: range):
     """A row per table and block of queries for each vector, with its bucket."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, buckets in _hashed(rotation, longest, batches):
             ids = batch.column("vec_id").to_numpy()
-            for table, bucket in enumerate(buckets):
+            for table in tables:
+                bucket = buckets[table]
                 run = layout.run_of[table][bucket]
                 part = (mixed(ids) % layout.parts[table][run].astype(np.uint64)).astype(np.int64)
                 bits = [b.tobytes() for b in np.packbits(np.eye(rotation.buckets, dtype=bool)[bucket], axis=1)]
@@ -165,7 +183,7 @@ def _stored(rotation: Rotations, layout: Layout, longest: float):
     return place
 
 
-def _asked(rotation: Rotations, layout: Layout, probes: int):
+def _asked(rotation: Rotations, layout: Layout, probes: int, tables: range):
     """A row per visited cell for each query, with one bit for each bucket that it probes."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +193,7 @@ def _asked(rotation: Rotations, layout: Layout, probes: int):
                 rows = unit_rows(matrix(batch.column("embedding")))
                 block = (mixed(batch.column("vec_id").to_numpy()) % np.uint64(layout.blocks)).astype(np.int64)
                 padded = rotation.padded(rows, 0.0)
-                for table in range(len(rotation.signs)):
+                for table in tables:
                     best = np.argpartition(-rotation.axes(padded, table), probes - 1, axis=1)[:, :probes]
                     hit = np.zeros((len(rows), rotation.buckets), bool)
                     hit[np.arange(len(rows))[:, None], best] = True
@@ -184,7 +202,9 @@ def _asked(rotation: Rotations, layout: Layout, probes: int):
                     at, run = np.repeat(at, parts), np.repeat(run, parts)
                     part = np.arange(len(at)) - np.repeat(np.cumsum(parts) - parts, parts)
                     bits = [b.tobytes() for b in np.packbits(hit, axis=1)[at]]
-                    yield _cell_rows(batch.take(pa.array(at)), layout.first[table][run] + part, block[at], bits)
+                    rows_of_cells = batch.take(pa.array(at))
+                    placed = _cell_rows(rows_of_cells, layout.first[table][run] + part, block[at], bits)
+                    yield placed.append_column("bound", rows_of_cells.column("bound"))
 
     return place
 
@@ -204,6 +224,7 @@ def _best_of_cell(k: int):
             ids, rows = stored.column("vec_id").to_numpy(), matrix(stored.column("embedding"))
             bucket = _bits(stored).argmax(axis=1)
             query_ids, query_rows, probed = asked.column("vec_id").to_numpy(), matrix(asked.column("embedding")), _bits(asked)
+            bound = asked.column("bound").to_numpy()
             for start in range(0, len(query_ids), 256):
                 some = slice(start, start + 256)
                 scores = query_rows[some] @ rows.T
@@ -212,7 +233,9 @@ def _best_of_cell(k: int):
                     least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k, None]
                 else:
                     least = np.full((len(scores), 1), -np.inf)
-                near, at = np.nonzero((scores >= least - SLACK * (1 + np.abs(least))) & (scores > -np.inf))
+                least = np.maximum(least, bound[some, None])
+                slack = np.where(np.isfinite(least), SLACK * (1 + np.abs(least)), 0)
+                near, at = np.nonzero((scores >= least - slack) & (scores > -np.inf))
                 exact = np.sum(query_rows[some][near] * rows[at], axis=1)
                 order = np.lexsort((ids[at], -exact, near))
                 near, at, exact = near[order], at[order], exact[order]
