@@ -22,7 +22,10 @@ SIMILARITY = 0.8
 LEAST_AGREEMENT = 0.65
 #: Documents of a bucket that are compared with the rest of it in a round: first a few of its largest
 #: class, which take in most of the rest, and from the round ``LARGE_ROUNDS`` on those of small classes.
-LARGE_PIVOTS, LARGE_ROUNDS, PIVOTS = 3, 2, 64
+LARGE_PIVOTS, LARGE_ROUNDS, PIVOTS = 3, 2, 256
+#: Bytes of shingles and pairs that a block of pairs is dealt for, and elements that are compared at once.
+BLOCK_BYTES, BLOCK_PAIRS, COMPARED = 4 << 20, 16_384, 1 << 20
+ROUNDING = 1e-9
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -175,11 +178,25 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: f
         .dropDuplicates(["node"])
         .select("node", "elements", "counts")
     )
-    shingled = written(shingled, "shingles")
-    both = likely.join(shingled.toDF("b", "elements_b", "counts_b"), "b").join(
-        shingled.toDF("a", "elements_a", "counts_a"), "a"
-    )
-    return both.mapInArrow(_similar(similarity), "a long, b long")
+    return _compared(likely, written(shingled, "shingles"), similarity)
+
+
+def _compared(likely: DataFrame, shingled: DataFrame, similarity: float) -> DataFrame:
+    """Pairs are dealt in blocks, so that shingles travel once per block and not once per pair.
+
+    A block is some of the first documents of pairs; where these have many pairs, as a very common
+    text does, it is split by the second ones.
+    """
+    n, size = shingled.agg(F.count(F.lit(1)), F.sum(F.length("elements") + F.length("counts"))).first()
+    per_block = max(1, BLOCK_BYTES * n // max(1, size or 0))
+    block = F.pmod(F.xxhash64("a", F.lit(31)), F.lit(max(1, -(-n // per_block))))
+    dealt = likely.withColumn("block", block)
+    parts = dealt.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PAIRS).alias("parts"))
+    dealt = dealt.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("b", F.lit(37)), "parts"))
+    dealt = dealt.select("block", "part", "a", "b")
+    ends = dealt.select("block", "part", F.explode(F.array("a", "b"))).toDF("to_block", "to_part", "node").distinct()
+    sent = ends.join(shingled, "node").groupBy("to_block", "to_part")
+    return dealt.groupBy("block", "part").cogroup(sent).applyInArrow(_similar(similarity), "a long, b long")
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,17 +234,61 @@ def _shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(least: float):
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [probability_jaccard(*_weighted(row, "a"), *_weighted(row, "b")) >= least for row in batch.to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+    def similar(pairs: pa.Table, sent: pa.Table) -> pa.Table:
+        node = sent.column("node").to_numpy()
+        order = np.argsort(node)
+        a, b = (order[np.searchsorted(node, pairs.column(end).to_numpy(), sorter=order)] for end in ("a", "b"))
+        sets = _Sets(sent.column("elements").to_pylist(), sent.column("counts").to_pylist())
+        by_a = np.argsort(a, kind="stable")
+        keep = np.zeros(len(a), bool)
+        for rows in np.split(by_a, np.flatnonzero(np.diff(a[by_a])) + 1) if len(a) else []:
+            keep[rows] = sets.similarities(a[rows[0]], b[rows]) >= least - ROUNDING
+        return pairs.select(["a", "b"]).filter(pa.array(keep))
 
     return similar
 
 
-def _weighted(row: dict, side: str) -> tuple[np.ndarray, np.ndarray]:
-    elements, counts = np.frombuffer(row[f"elements_{side}"], np.uint32), row[f"counts_{side}"]
-    return elements, np.frombuffer(counts, np.uint32).astype(float) if counts else np.ones(len(elements))
+class _Sets:
+    """Weighted sets one after another, elements coded by their place among all of them."""
+
+    def __init__(self, elements: list[bytes], counts: list[bytes]):
+        flat = np.frombuffer(b"".join(elements), np.uint32)
+        known, self.codes = np.unique(flat, return_inverse=True)
+        self.size = np.fromiter((len(e) // 4 for e in elements), np.int64, len(elements))
+        self.first = np.cumsum(self.size) - self.size
+        self.weights = np.ones(len(flat))
+        for k, own in enumerate(counts):
+            if own:
+                self.weights[self.first[k] : self.first[k] + self.size[k]] = np.frombuffer(own, np.uint32)
+        self.total = np.add.reduceat(self.weights, self.first) if len(flat) else self.weights
+        self.mark = np.zeros(len(known))
+
+    def similarities(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Similarity of a set to each of ``others``, ``COMPARED`` elements at a time."""
+        own = slice(self.first[one], self.first[one] + self.size[one])
+        self.mark[self.codes[own]] = self.weights[own]
+        before = np.cumsum(self.size[others]) - self.size[others]
+        cuts = np.flatnonzero(np.diff(before // COMPARED)) + 1
+        found = np.concatenate([self._to_marked(self.total[one], some) for some in np.split(others, cuts)])
+        self.mark[self.codes[own]] = 0
+        return found
+
+    def _to_marked(self, total: float, others: np.ndarray) -> np.ndarray:
+        n, size = len(others), self.size[others]
+        owner = np.repeat(np.arange(n), size)
+        at = np.repeat(self.first[others] - np.cumsum(size) + size, size) + np.arange(len(owner))
+        x, y = self.mark[self.codes[at]], self.weights[at]
+        common = x > 0
+        x, y, owner = x[common], y[common], owner[common]
+        both_x, both_y = np.bincount(owner, x, n), np.bincount(owner, y, n)
+        only_x, only_y = total - both_x, self.total[others] - both_y
+        if (x == y).all():  # then each term is the weight over that of the union
+            return both_x / (only_x + only_y + both_x)
+        order = np.lexsort((x / y, owner))
+        x, y, owner = x[order], y[order], owner[order]
+        later = np.cumsum(both_x)[owner] - np.cumsum(x) + x
+        earlier = np.cumsum(y) - y - (np.cumsum(both_y) - both_y)[owner]
+        return np.bincount(owner, 1.0 / ((only_x[owner] + later) / x + (only_y[owner] + earlier) / y), n)
 
 
 def probability_jaccard(a: np.ndarray, weight_a: np.ndarray, b: np.ndarray, weight_b: np.ndarray) -> float:
