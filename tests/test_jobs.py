@@ -32,6 +32,9 @@ def test_layers_then_reports(spark, lake, capfd):
     lake("star")
     assert "|dim_symbol|     5|" in capfd.readouterr().out
     lake("compact", "--layer", "silver", "--target", f"{lake.folder}/merged")
+    for before, n_rows in (("2024-01-02", 20), ("2024-01-01", 0)):  # the published five are later
+        lake("compact", "--layer", "silver", "--target", f"{lake.folder}/{before}", "--before", before)
+        assert spark.read.schema("price DOUBLE").parquet(f"{lake.folder}/{before}").count() == n_rows
     lake("replay", "--layer", "silver", "--target", f"{lake.folder}/merged", "--day", "2024-01-01")
     assert spark.read.parquet(f"{lake.folder}/merged").count() == 45  # bronze keeps the repeats
     lake("replay", "--layer", "silver", "--target", f"{lake.folder}/merged", "--day", "2024-01-01", "--once")

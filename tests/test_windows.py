@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from samples import at, clock, ticks, values
 from tickloom.operators import windows
-from tickloom.plans.inspect import plan_text, scanned_columns
+from tickloom.plans.inspect import plan_text, scanned_columns, shuffles
 
 ORDER = ("symbol", "window_start")
 
@@ -48,9 +48,18 @@ def test_rows_without_time_are_in_no_window(spark):
     assert windows.sliding_average(rows).agg(F.sum("n_ticks")).first()[0] == 6
 
 
-def test_slide_must_divide_the_size(spark):
+@pytest.mark.parametrize("size, slide", [(60, 7), (50, 20), (45, 45), (10, 9)])
+def test_any_slide_up_to_the_size(spark, size, slide):
+    rows = ticks(spark, [("A", 5.0 + s, 1.0, at(s)) for s in (0, 1, 19, 20, 44, 45, 59, 60, 131)])
+    panes = windows.sliding_average(rows, size, slide).withColumn("avg_price", F.round("avg_price", 9))
+    direct = windows.sliding_average_stream(rows, size, slide, None)
+    direct = direct.withColumn("avg_price", F.round("avg_price", 9))
+    assert values(panes, *ORDER) == values(direct, *ORDER)
+
+
+def test_slide_is_not_longer_than_the_window(spark):
     with pytest.raises(ValueError):
-        windows.sliding_average(ticks(spark, [("A", 5.0, 1.0, at(1))]), 60, 7)
+        windows.sliding_average(ticks(spark, [("A", 5.0, 1.0, at(1))]), 60, 61)
 
 
 def test_closed_windows_end_by_the_watermark(spark):
@@ -75,6 +84,7 @@ def test_chart_series(spark):
     series = windows.average_series(gold)
     assert series.columns == ["window_start", "symbol", "avg_price"]
     assert series.count() == gold.count()
+    assert shuffles(series) == 2  # panes and windows, none for the chart
 
 
 def test_windows_read_three_columns_and_combine_first(spark, folder):

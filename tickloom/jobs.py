@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.functions.bands import LOWER_RATIO, UPPER_RATIO, PriceBands
 from tickloom.operators import maintenance, olap, star, windows
@@ -142,10 +143,11 @@ def register(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Copy a layer into larger files at ``--target``."""
+    """Copy a layer, or its days before ``--before``, into larger files at ``--target``."""
     layer = {layer.name: layer for layer in medallion.LAYERS}[args.layer]
+    finished = F.col(layer.partition_by[0]) < F.lit(args.before) if args.before else None
     maintenance.compact(
-        spark, layer.path(args.root), args.target, layer.partition_by, sort_by=[layer.time_column]
+        spark, layer.path(args.root), args.target, layer.partition_by, finished, sort_by=[layer.time_column]
     )
 
 
@@ -200,6 +202,7 @@ def parser() -> argparse.ArgumentParser:
         job = add(name, run)
         job.add_argument("--layer", choices=choices, required=True)
         job.add_argument("--target", required=True)
+    jobs.choices["compact"].add_argument("--before", type=dt.date.fromisoformat, help="only days before this one")
     job.add_argument("--day", type=dt.date.fromisoformat, required=True)
     job.add_argument("--once", action="store_true", help="drop repeated ticks, as the layer does")
     job.add_argument("--lower-ratio", type=float, default=LOWER_RATIO)

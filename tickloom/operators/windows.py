@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,15 +47,17 @@ def sliding_average(
 ) -> DataFrame:
     """The same windows over a batch table.
 
-    Ticks are first summed per slide-long pane, then the few panes are spread over the
-    windows that contain them, instead of copying every tick ``size / slide`` times.
+    Ticks are first summed per pane, the longest span that divides size and slide, then the few
+    panes are spread over the windows that contain them, instead of copying every tick
+    ``size / slide`` times. As on a stream, the slide may not be longer than the window.
     """
-    if size % slide:
-        raise ValueError("the window size must be a multiple of the slide")
+    if not 0 < slide <= size:
+        raise ValueError("the slide must be positive and not longer than the window")
+    length = math.gcd(size, slide)
     second = F.unix_seconds("event_time")
     panes = (
         ticks.filter(F.col("event_time").isNotNull())
-        .groupBy("symbol", (second - F.pmod(second, F.lit(slide))).alias("pane"))
+        .groupBy("symbol", (second - F.pmod(second, F.lit(length))).alias("pane"))
         .agg(
             F.sum("price").alias("price_sum"),
             F.count("price").alias("n_prices"),
@@ -61,22 +65,18 @@ def sliding_average(
         )
     )
     back = F.explode(F.array(*(F.lit(step) for step in range(0, size, slide))))
-    windows = (
-        panes.withColumn("back", back)
-        .groupBy("symbol", (F.col("pane") - F.col("back")).alias("start"))
-        .agg(
-            F.try_divide(F.sum("price_sum"), F.sum("n_prices")).alias("avg_price"),
-            F.sum("pane_ticks").alias("n_ticks"),
-        )
+    start = F.col("pane") - F.pmod("pane", F.lit(slide)) - F.col("back")
+    spread = panes.withColumn("back", back)
+    if size % slide:  # the earliest of these windows may end before the pane
+        spread = spread.filter(start + size > F.col("pane"))
+    # grouped by the column that is returned, so that later groupings by it need no shuffle
+    windows = spread.groupBy("symbol", F.timestamp_seconds(start).alias("window_start")).agg(
+        F.try_divide(F.sum("price_sum"), F.sum("n_prices")).alias("avg_price"),
+        F.sum("pane_ticks").alias("n_ticks"),
     )
+    end = F.timestamp_seconds(F.unix_seconds("window_start") + size)
     return _day_of_window(
-        windows.select(
-            "symbol",
-            F.timestamp_seconds("start").alias("window_start"),
-            F.timestamp_seconds(F.col("start") + size).alias("window_end"),
-            "avg_price",
-            "n_ticks",
-        )
+        windows.select("symbol", "window_start", end.alias("window_end"), "avg_price", "n_ticks")
     )
 
 

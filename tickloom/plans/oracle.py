@@ -36,10 +36,11 @@ silver AS (SELECT {TICK_COLUMNS} FROM anchored WHERE {SANE} AND {IN_BAND})"""
 
 def _spread(source: str, size: int, slide: int) -> str:
     """Every tick once per sliding window that contains it."""
+    inside = f"WHERE event_time < window_start + INTERVAL {size} SECOND" if size % slide else ""
     return f"""
 spread AS (
   SELECT s.*, time_bucket(INTERVAL {slide} SECOND, event_time) - k * INTERVAL {slide} SECOND AS window_start
-  FROM {source} s CROSS JOIN range(0, {size // slide}) steps(k)
+  FROM {source} s CROSS JOIN range(0, {-(-size // slide)}) steps(k) {inside}
 )"""
 
 
@@ -96,6 +97,10 @@ fact_ticks AS (
   FROM silver
 )"""
 
+VOLUME_BY_ASSET = f"""{STAR}
+SELECT ingest_date, base_asset, round(sum(volume), 2) AS total_volume, count(*) AS n_ticks
+FROM fact_ticks JOIN dim_symbol USING (symbol_key) GROUP BY ingest_date, base_asset"""
+
 # A row that arrives after the watermark only counts in windows that end beyond it.
 LATE = f"""
 WITH {SILVER},
@@ -188,9 +193,8 @@ UNION ALL SELECT 'gold', count(*) FROM gold""",
     "dim_time": f"{STAR} SELECT * FROM dim_time",
     "dim_symbol": f"{STAR} SELECT * FROM dim_symbol",
     "fact_ticks": f"{STAR} SELECT * FROM fact_ticks",
-    "star_volume": f"""{STAR}
-SELECT ingest_date, base_asset, round(sum(volume), 2) AS total_volume, count(*) AS n_ticks
-FROM fact_ticks JOIN dim_symbol USING (symbol_key) GROUP BY ingest_date, base_asset""",
+    "star_volume": VOLUME_BY_ASSET,
+    "star_sql": VOLUME_BY_ASSET,
     "star_full": f"""{STAR}
 SELECT * FROM fact_ticks JOIN dim_symbol USING (symbol_key) JOIN dim_market USING (market_key)
 JOIN dim_time USING (time_key)""",
@@ -201,6 +205,7 @@ FROM fact_ticks JOIN dim_symbol USING (symbol_key) JOIN dim_market USING (market
 JOIN dim_time USING (time_key) GROUP BY ALL""",
     "sliding_average": ALL_WINDOWS,
     "sliding_average_hour": f"WITH {SILVER},{_windows('silver', 3600, 600, 8)} SELECT * FROM windows",
+    "sliding_average_uneven": f"WITH {SILVER},{_windows('silver', 50, 20)} SELECT * FROM windows",
     "price_by_minute": _chart(60, "round(avg(price), 6) AS avg_price"),
     "volume_by_5min": _chart(300, "sum(volume) AS total_volume"),
     "gold_chart": f"""{GOLD}
@@ -228,6 +233,7 @@ UNION ALL SELECT 'dim_time', count(*) FROM dim_time
 UNION ALL SELECT 'dim_symbol', count(*) FROM dim_symbol
 UNION ALL SELECT 'dim_market', count(*) FROM dim_market""",
     "compaction": CLEANED,
+    "compaction_finished": f"{CLEANED} WHERE ingest_date < {REPLAYED_DAY}",
     "replay_day": f"""WITH {TICKS},{ANCHORED}
 SELECT {TICK_COLUMNS} FROM anchored
 WHERE {SANE} AND CASE WHEN ingest_date = {REPLAYED_DAY} THEN {IN_TIGHT_BAND} ELSE {IN_BAND} END""",

@@ -186,6 +186,39 @@ def compaction(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def compaction_finished(spark: SparkSession, folder: str) -> DataFrame:
+    """The days of silver before one day, compacted; its later days may still be written."""
+    layer, root = medallion.SILVER, work_folder(spark, "finished")
+    silver = tables.write_table(_silver(spark, folder), layer.path(root), layer.partition_by, gather=False)
+    return maintenance.compact(
+        spark,
+        layer.path(root),
+        f"{root}/compacted",
+        layer.partition_by,
+        F.col("ingest_date") < F.lit(REPLAY_DAY),
+        schema=silver.schema,
+        sort_by=[layer.time_column],
+    )
+
+
+def star_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """Volume per day and base asset, asked in SQL of registered tables by their names."""
+    root = work_folder(spark, "star-sql")
+    star.write_star(_silver(spark, folder), f"{root}/gold_star")
+    database = f"star_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    try:
+        catalog.register_tables(spark, root, database)
+        answer = spark.sql(
+            "SELECT ingest_date, base_asset, round(sum(volume), 2) AS total_volume, count(*) AS n_ticks"
+            f" FROM {database}.fact_ticks JOIN {database}.dim_symbol USING (symbol_key)"
+            " GROUP BY ingest_date, base_asset"
+        )
+        return tables.write_table(answer, f"{root}/answer")
+    finally:  # the tables are external, so this drops their names only
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def replay_day(spark: SparkSession, folder: str) -> DataFrame:
     """Silver with one day filtered again under tighter bands."""
     root = work_folder(spark, "replay")
@@ -366,6 +399,9 @@ QUERIES: dict[str, Query] = {
     "sliding_average_hour": _on_silver(
         lambda rows: windows.sliding_average(rows, HOUR, TEN_MINUTES), "avg_price", digits=8
     ),
+    "sliding_average_uneven": _on_silver(
+        lambda rows: windows.sliding_average(rows, 50, 20), "avg_price"
+    ),
     "price_by_minute": _on_silver(windows.price_series, "avg_price"),
     "volume_by_5min": _on_silver(windows.volume_series),
     "gold_chart": lambda spark, folder: _rounded(
@@ -376,6 +412,8 @@ QUERIES: dict[str, Query] = {
     "offset_span": offset_span,
     "tables_listed": tables_listed,
     "compaction": compaction,
+    "compaction_finished": compaction_finished,
+    "star_sql": star_sql,
     "replay_day": replay_day,
     "replay_gold_day": replay_gold_day,
     "bronze_stream": _layer_stream(medallion.BRONZE),
