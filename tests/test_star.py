@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from samples import at, clock, ticks, values
 from tickloom.operators import star
+from tickloom.operators.lookup import measured_bytes
 from tickloom.plans.inspect import plan_text, scanned_columns
 
 DAY = 86400
@@ -72,3 +73,17 @@ def test_calendar_sums_agree_with_the_full_star(written):
     )
     for limit in (10**9, 0):
         assert values(star.volume_by_calendar(*tables, broadcast_bytes=limit)) == values(plain, *labels)
+
+
+def test_a_long_calendar_moves_no_fact(spark, folder):
+    seconds = [("BTCUSDT", 1.0, 1.0, at(7 * k)) for k in range(5000)]
+    tables = star.write_star(ticks(spark, seconds), folder)
+    full = [tables[n] for n in ("fact_ticks", "dim_time", "dim_symbol", "dim_market")]
+    limit = 200_000
+    assert measured_bytes(tables["dim_time"]) > limit
+    rows = star.full_star(*full, broadcast_bytes=limit)
+    tree = plan_text(rows).split("\n\n")[0]
+    assert tree.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in tree
+    plain = full[0].join(full[2], "symbol_key").join(full[3], "market_key").join(full[1], "time_key")
+    columns = sorted(plain.columns)
+    assert values(rows.select(*columns), "time_key") == values(plain.select(*columns), "time_key")

@@ -42,12 +42,28 @@ def anchor_price(symbol: Column, anchors: Mapping[str, float]) -> Column:
     """The anchor of a symbol, NULL when there is none."""
     if not anchors:
         return F.lit(None).cast("double")
-    branches = F
-    for name, price in anchors.items():
-        branches = branches.when(symbol == name, F.lit(float(price)))
+    return _by_symbol(symbol, {name: F.lit(float(price)) for name, price in anchors.items()})
+
+
+def _by_symbol(symbol: Column, values: Mapping[str, Column]) -> Column:
+    (first, value), *others = values.items()
+    branches = F.when(symbol == first, value)
+    for name, value in others:
+        branches = branches.when(symbol == name, value)
     return branches
 
 
+def inside_band(symbol: Column, price: Column, bands: PriceBands) -> Column:
+    """:func:`near_anchor` with ready-made bounds, so that a symbol is looked up once per tick."""
+    if not bands.anchors:
+        return F.lit(True)
+    verdicts = {
+        name: price.between(float(anchor) * bands.lower, float(anchor) * bands.upper)
+        for name, anchor in bands.anchors.items()
+    }
+    return _by_symbol(symbol, verdicts).otherwise(True)
+
+
 def tradable(price: Column, volume: Column) -> Column:
     """Price above zero and volume not negative; NULL in either means no."""
     return (price > 0) & (volume >= 0)

@@ -9,7 +9,7 @@ from tickloom.functions.bands import (
     LOWER_RATIO,
     UPPER_RATIO,
     PriceBands,
-    anchor_price,
+    inside_band,
     near_anchor,
     tradable,
 )
@@ -21,10 +21,9 @@ REPEAT_KEY = ("symbol", "timestamp")
 
 def clean_ticks(ticks: DataFrame, bands: PriceBands = PriceBands()) -> DataFrame:
     """Keep ticks with a sane price and volume whose price fits the symbol's band."""
-    price, anchor = F.col("price"), anchor_price(F.col("symbol"), bands.anchors)
-    return ticks.filter(tradable(price, F.col("volume"))).filter(
-        near_anchor(price, anchor, bands.lower, bands.upper)
-    )
+    price = F.col("price")
+    sane = ticks.filter(tradable(price, F.col("volume")))
+    return sane.filter(inside_band(F.col("symbol"), price, bands))
 
 
 def clean_with_anchor_table(

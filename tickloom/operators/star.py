@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.clock import calendar_parts
 from tickloom.functions.pairs import split_pair
-from tickloom.operators.lookup import BROADCAST_BYTES, lookup_join, measured_bytes
+from tickloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from tickloom.sources.schemas import DIM_MARKET, MARKET_ROWS
 from tickloom.sources.tables import write_table
 
+# What the day of a moment fixes, and what its minute of the day fixes.
+DAY_PARTS = ("year", "month", "day", "weekday")
+MINUTE_PARTS = ("hour", "minute")
+
 
 def dim_time(ticks: DataFrame) -> DataFrame:
     """One row per distinct event second with its calendar parts."""
@@ -75,18 +79,42 @@ def volume_by_asset(facts: DataFrame, symbols: DataFrame) -> DataFrame:
     )
 
 
+def join_calendar(
+    facts: DataFrame,
+    times: DataFrame,
+    parts: Sequence[str] = (*DAY_PARTS, *MINUTE_PARTS),
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Facts with calendar parts of ``dim_time``, which must know all their moments.
+
+    That table has a row per second and outgrows any broadcast. What it says does not: it is split
+    into a row per day and one per minute of the day, so the facts do not move however long it gets.
+    """
+    minute = F.hour("time_key") * 60 + F.minute("time_key")
+    for key, value, own in (("_day", F.to_date("time_key"), DAY_PARTS), ("_minute", minute, MINUTE_PARTS)):
+        wanted = [name for name in own if name in parts]
+        if wanted:
+            rows = times.select(value.alias(key), *wanted).distinct()
+            facts = lookup_join(facts.withColumn(key, value), rows, [key], broadcast_bytes=broadcast_bytes)
+            facts = facts.drop(key)
+    return facts
+
+
 def full_star(
-    facts: DataFrame, times: DataFrame, symbols: DataFrame, markets: DataFrame
+    facts: DataFrame,
+    times: DataFrame,
+    symbols: DataFrame,
+    markets: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every fact with the columns of all three dimensions.
 
     The dimensions are measured: small ones are broadcast, larger ones joined with salted
-    keys (``dim_time`` has a row per second and outgrows a broadcast first). As for
-    :func:`volume_by_calendar`, give the written facts.
+    keys. As for :func:`volume_by_calendar`, give the written facts.
     """
-    joined = lookup_join(facts, symbols, ["symbol_key"])
-    joined = lookup_join(joined, markets, ["market_key"])
-    return lookup_join(joined, times, ["time_key"])
+    joined = lookup_join(facts, symbols, ["symbol_key"], broadcast_bytes=broadcast_bytes)
+    joined = lookup_join(joined, markets, ["market_key"], broadcast_bytes=broadcast_bytes)
+    return join_calendar(joined, times, broadcast_bytes=broadcast_bytes)
 
 
 def volume_by_calendar(
@@ -98,8 +126,7 @@ def volume_by_calendar(
 ) -> DataFrame:
     """Volume and tick count per venue, asset pair, weekday and hour, over the full star.
 
-    A small ``dim_time`` is broadcast, and the facts are summed by the hour where they are.
-    One that is too big for that is joined after a sum per second, so that no second is hot.
+    The calendar is broadcast, and the facts are summed by the hour where they are.
     The other joins see a few sums per symbol. Give the written facts: in facts still being
     computed the market key is a literal, and a join on a literal is planned as a cross join.
     """
@@ -107,11 +134,7 @@ def volume_by_calendar(
     keys = ["symbol_key", "market_key"]
     clock = ["weekday", "hour"]
     counted = facts.select("time_key", *keys, "volume", F.lit(1).alias("ticks"))
-    hours = times.select("time_key", *clock)
-    if measured_bytes(hours) <= broadcast_bytes:
-        timed = counted.join(F.broadcast(hours), "time_key")
-    else:
-        timed = counted.groupBy("time_key", *keys).agg(*measures).join(hours, "time_key")
+    timed = join_calendar(counted, times, clock, broadcast_bytes)
     by_hour = timed.groupBy(*clock, *keys).agg(*measures)
     labels = ["exchange", "venue_type", "settlement_currency", "base_asset", "quote_asset"]
     return (

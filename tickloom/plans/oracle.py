@@ -156,6 +156,10 @@ SELECT time_bucket(INTERVAL {seconds} SECOND, event_time) AS window_start, symbo
 FROM silver GROUP BY ALL"""
 
 
+ONCE = f"""WITH {TICKS},
+twice AS (SELECT * FROM ticks UNION ALL SELECT * FROM ticks)
+SELECT DISTINCT ON (symbol, timestamp) {TICK_COLUMNS} FROM twice ORDER BY symbol, timestamp, price, volume"""
+
 ORACLE: dict[str, str] = {
     "ticks_normalise": NORMALISED,
     "message_parse": f"""WITH {TICKS},
@@ -171,9 +175,7 @@ SELECT upper(event_type) || 'USDT' AS symbol, date_trunc('millisecond', ts) AS e
     "silver_by_anchor_table": CLEANED,
     "silver_table": CLEANED,
     "silver_view": SYMBOLS,
-    "dedup_ticks": f"""WITH {TICKS},
-twice AS (SELECT * FROM ticks UNION ALL SELECT * FROM ticks)
-SELECT DISTINCT ON (symbol, timestamp) {TICK_COLUMNS} FROM twice ORDER BY symbol, timestamp, price, volume""",
+    "dedup_ticks": ONCE,
     "daily_average": f"""WITH {SILVER}
 SELECT ingest_date, symbol, round(avg(price), 6) AS avg_price, count(*) AS n_ticks
 FROM silver GROUP BY ingest_date, symbol ORDER BY ingest_date, symbol""",
@@ -248,7 +250,7 @@ GROUP BY symbol, window_start""",
     "gold_stream": CLOSED_WINDOWS,
     "running_stats": RUNNING,
     "sliding_update": ALL_WINDOWS,
-    "dedup_stream": f"WITH {TICKS} SELECT DISTINCT symbol, timestamp, event_time FROM ticks",
+    "dedup_stream": ONCE,
     "restart_resume": CLEANED,
     "restart_gold": CLOSED_WINDOWS,
     "late_rows": LATE,
@@ -257,4 +259,10 @@ SELECT symbol, window_start, window_end FROM windows WHERE NOT ({CLOSED})""",
     "progress_table": """
 SELECT query, (SELECT count(*) FROM events) AS input_rows
 FROM (VALUES ('bronze_parquet'), ('silver_parquet'), ('gold_parquet')) names(query)""",
+    # one batch reads the table, and if the watermark moved one more closes windows
+    "checkpoint_inventory": f"""WITH {SILVER},
+batches AS (SELECT CAST(1 + max((event_time IS NOT NULL)::INT) AS BIGINT) AS n FROM silver)
+SELECT 'offsets' AS folder, n FROM batches
+UNION ALL SELECT 'commits', n FROM batches
+UNION ALL SELECT 'state', 8""",
 }

@@ -26,6 +26,7 @@ REPLAY_DAY = dt.date(2024, 1, 15)
 TIGHT_BANDS = PriceBands(events.EVENT_BANDS.anchors, 0.5, 1.5)
 HOUR, TEN_MINUTES = 3600, 600
 FILES_PER_BATCH = 10_000
+STATE_PARTITIONS = 8
 
 
 def _ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -245,12 +246,19 @@ def replay_gold_day(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------
 
 
-def _streamed(spark: SparkSession, folder: str, *layers: medallion.Layer) -> str:
+def _streamed(
+    spark: SparkSession, folder: str, *layers: medallion.Layer, state_partitions: int | None = None
+) -> str:
     """Run layers over the whole table as a stream; returns the lake root."""
     root = work_folder(spark, "stream")
     files = None if medallion.GOLD in layers else FILES_PER_BATCH
     started = medallion.start_medallion(
-        _message_stream(spark, folder, files), root, events.EVENT_BANDS, live=False, layers=layers
+        _message_stream(spark, folder, files),
+        root,
+        events.EVENT_BANDS,
+        live=False,
+        state_partitions=state_partitions,
+        layers=layers,
     )
     runtime.run_to_end(*started.values())
     return root
@@ -300,7 +308,7 @@ def dedup_stream(spark: SparkSession, folder: str) -> DataFrame:
     runtime.run_to_end(
         runtime.start_table(once, "dedup", f"{root}/out", f"{root}/checkpoint")
     )
-    return tables.read_table(spark, f"{root}/out").select("symbol", "timestamp", "event_time")
+    return tables.read_table(spark, f"{root}/out")
 
 
 def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -360,12 +368,15 @@ def progress_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def checkpoint_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Files and bytes per folder of a gold checkpoint."""
-    root = _streamed(spark, folder, medallion.GOLD)
-    files = observe.checkpoint_files(spark, medallion.GOLD.checkpoint_path(root))
-    return files.groupBy("folder").agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("bytes")
+    """Batches that a gold checkpoint has planned and committed, and the partitions of its state."""
+    root = _streamed(spark, folder, medallion.GOLD, state_partitions=STATE_PARTITIONS)
+    checkpoint = medallion.GOLD.checkpoint_path(root)
+    files = observe.checkpoint_files(spark, checkpoint)
+    batches = files.filter("folder IN ('offsets', 'commits') AND file RLIKE '/[0-9]+$' AND bytes > 0")
+    state = observe.state_operators(spark, checkpoint).select(
+        F.lit("state").alias("folder"), F.col("numPartitions").cast("long").alias("n")
     )
+    return batches.groupBy("folder").agg(F.count(F.lit(1)).alias("n")).unionByName(state)
 
 
 QUERIES: dict[str, Query] = {
