@@ -34,6 +34,13 @@ def test_odd_texts_give_the_ids_of_whole_texts():
     assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(t) for t in [*ODD, None]]
 
 
+def test_marks_after_any_letter_give_the_ids_of_whole_texts():
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha() and not 0x3400 <= c < 0xD800 and c < 0x20000]
+    texts = ["BELEDİYESİ, İ.", "क़. फ़ल फ़, फ़.", "\ufb2e, \ufb2e.", *(f"{x}, a{x}. {x}A," for x in letters)]
+    ids, sizes = ENCODER.encode(pa.array(texts))
+    assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(t) for t in texts]
+
+
 def test_pieces_and_packing(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     extra = spark.createDataFrame([(9001, None), (9002, ""), (None, "the end"), (9003, "long " * 70_000), (0, "again")], "doc_id long, text string")

@@ -26,6 +26,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.parted: dict[str, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -47,9 +48,9 @@ class PieceEncoder:
             self._forget()
         new = [piece for piece in pieces if piece not in self.known]
         if new:
-            # case goes anyway, but in the names of special tokens; letters and a mark are two words
+            # case goes anyway, but in the names of special tokens; letters and a mark are mostly two words
             plain = [piece.lower() if piece.isascii() and "<" not in piece else piece for piece in new]
-            stems = [piece[:-1] if piece.endswith(MARKS) and piece[:-1].isalpha() else piece for piece in plain]
+            stems = [piece[:-1] if self._mark_apart(piece) else piece for piece in plain]
             self._learn([stem for stem in dict.fromkeys([*stems, *MARKS]) if stem not in self.known])
             code = np.fromiter((self.known[stem] for stem in stems), np.int64, len(stems))
             marked = np.fromiter((len(s) < len(p) for s, p in zip(stems, plain)), bool, len(stems))
@@ -59,6 +60,19 @@ class PieceEncoder:
             self.known.update(zip(new, code.tolist()))
         return np.fromiter((self.known[piece] for piece in pieces), np.int64, len(pieces))
 
+    def _mark_apart(self, piece: str) -> bool:
+        """True for letters and a mark that the tokenizer keeps apart.
+
+        It joins the mark to a letter that it normalises to a letter and a combining mark.
+        """
+        if not (piece.endswith(MARKS) and piece[:-1].isalpha()):
+            return False
+        end = piece[-2:]
+        if end not in self.parted:
+            words = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(end))
+            self.parted[end] = words[-1][0] == end[-1]
+        return self.parted[end]
+
     def _learn(self, pieces: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
