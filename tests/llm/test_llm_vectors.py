@@ -91,6 +91,24 @@ def test_recall(spark):
     assert np.mean([len(got[q] & {i for i, _ in expected[q]}) / 20 for q in queries]) >= 0.9
 
 
+@pytest.mark.parametrize("lengths", ["one long", "lognormal 1", "lognormal 2"])
+def test_recall_with_lengths_that_differ(spark, lengths):
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(2000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if lengths == "one long":
+        vectors[7] *= 100
+    else:
+        vectors *= np.exp(rng.normal(scale=float(lengths[-1]), size=(2000, 1)))
+    rows = [(k, v.astype(np.float32).tolist(), 0) for k, v in enumerate(vectors)]
+    index = frame(spark, rows)
+    queries = list(range(0, 2000, 20))
+    found = nearest(index, index.filter("vec_id % 20 = 0"), 20).collect()
+    expected = brute_nearest(rows, queries, 20)
+    shares = [len({r.vec_id for r in found if r.query_id == q} & {i for i, _ in expected[q]}) / 20 for q in queries]
+    assert np.mean(shares) >= 0.94 and min(shares) >= 0.6
+
+
 def test_small_cells_and_blocks_change_nothing(spark, monkeypatch):
     from tickloom.llm import neighbours
 

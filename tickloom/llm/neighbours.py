@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ from tickloom.llm.vectors import dimension, matrix, unit_rows, usable
 TABLES, PROBES, ROTATIONS = 12, 24, 3
 #: Rows of a cell: the vectors that are compared in one task hold at most about so many.
 CELL_VECTORS, CELL_QUERIES = 16_384, 4_096
+#: What the tables together find of the pairs that are left to them, and the ratio of lengths of a band.
+LEAST_FOUND, BAND = 0.94, 1.25
 SLACK = 1e-9
 
 
@@ -28,10 +31,13 @@ def nearest(
     Both inputs are ``(vec_id, embedding)``; a query does not find its own ``vec_id``. Each table
     assigns a vector to the nearest signed axis after a pseudo-random rotation of sign flips and
     Hadamard transforms. A query visits the buckets of its ``probes`` nearest axes in each table; all
-    vectors there are scored in double precision on the original components. Vectors are scaled by
-    the longest and given one more component that makes them unit vectors, which turns the largest
-    inner product into the nearest direction; with that, and zeros up to a power of two of at least
-    twice the dimension, buckets are finer than the dimension alone would make them.
+    vectors there are scored in double precision on the original components. Zeros up to a power of
+    two of at least twice the dimension make buckets finer than the dimension alone would.
+
+    The tables see directions only, and find a pair of a small angle more often than one of a large
+    angle. A vector so long that it can be among the ``k`` at an angle where the tables would find less
+    than ``LEAST_FOUND`` is scored anyway: one more table has bands of length as its buckets, of which a
+    query visits all that its ``k``-th find in the first table does not rule out.
 
     Neighbouring buckets share a cell, a full bucket has several; a cell meets one block of queries
     at a time, so a very common vector spreads over cells. What the first table finds bounds the rest:
@@ -46,25 +52,25 @@ def nearest(
     if not n or not n_queries:
         return index.sparkSession.createDataFrame([], RESULT)
     size = dimension(index.select("embedding").unionByName(queries.select("embedding")), "embedding")
-    rotation = Rotations(size, tables, seed)
+    rotation = Rotations(size, tables, seed, longest)
     # one row per table and bucket, whatever the size of the index
-    counted = index.mapInArrow(_counted(rotation, longest), "table int, bucket int, n long")
+    counted = index.mapInArrow(_counted(rotation), "table int, bucket int, n long")
     counts = counted.groupBy("table", "bucket").agg(F.sum("n")).collect()
     layout = Layout(rotation, counts, math.ceil(n_queries / CELL_QUERIES))
     unbounded = queries.withColumn("bound", F.lit(float("-inf")))
-    first = written(_ranked(_found(index, unbounded, rotation, layout, longest, probes, k, range(1)), k), "first-table")
-    if tables == 1:
-        return first
+    first = written(_ranked(_found(index, unbounded, rotation, layout, probes, k, range(1), 0.0), k), "first-table")
     bounds = first.filter(F.col("rank") == k).groupBy(F.col("query_id").alias("vec_id")).agg(F.min("score").alias("bound"))
     bounded = queries.join(bounds, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
-    found = _found(index, bounded, rotation, layout, longest, probes, k, range(1, tables))
+    bounded = written(bounded, "bounded-queries")
+    least = bounded.agg(F.min(F.col("bound") / _norm("embedding"))).first()[0] / rotation.surest_cosine(probes)
+    found = _found(index, bounded, rotation, layout, probes, k, range(1, tables + 1), least)
     return _ranked(first.drop("rank").unionByName(found), k)
 
 
 def _found(
-    index: DataFrame, queries: DataFrame, rotation: Rotations, layout: Layout, longest: float, probes: int, k: int, tables: range
+    index: DataFrame, queries: DataFrame, rotation: Rotations, layout: Layout, probes: int, k: int, tables: range, least: float
 ) -> DataFrame:
-    stored = index.mapInArrow(_stored(rotation, layout, longest, tables), CELL)
+    stored = index.mapInArrow(_stored(rotation, layout, tables, least), CELL)
     asked = queries.mapInArrow(_asked(rotation, layout, probes, tables), f"{CELL}, bound double")
     key = ["cell", "block"]
     return stored.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(_best_of_cell(k), FOUND)
@@ -88,19 +94,43 @@ def _norm(column: str) -> Column:
 
 
 class Rotations:
-    """The sign flips of every table; ``axes`` are the signed axes of rotated rows."""
+    """The sign flips of every table; ``axes`` are the signed axes of rotated rows.
+
+    The table after the last, ``by_length``, has bands of length as its buckets, the longest first.
+    """
 
-    def __init__(self, size: int, tables: int, seed: int):
+    def __init__(self, size: int, tables: int, seed: int, longest: float):
         self.width = 1 << max(1, math.ceil(math.log2(2 * size)))
         self.buckets = 2 * self.width
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, ROTATIONS, self.width))
+        self.by_length, self.longest = tables, longest
+        self.band_ends = longest * BAND ** -np.arange(self.buckets, dtype=float)
 
-    def padded(self, rows: np.ndarray, rest: np.ndarray | float) -> np.ndarray:
+    def padded(self, rows: np.ndarray) -> np.ndarray:
         out = np.zeros((len(rows), self.width))
         out[:, : rows.shape[1]] = rows
-        out[:, rows.shape[1]] = rest
         return out
 
+    def band(self, lengths: np.ndarray) -> np.ndarray:
+        """Each length's band; the last one holds all that is shorter, too."""
+        return np.clip(np.log(self.longest / lengths) / math.log(BAND), 0, self.buckets - 1).astype(np.int64)
+
+    def surest_cosine(self, probes: int) -> float:
+        """The cosine from which the tables find ``LEAST_FOUND`` of pairs.
+
+        A rotated component is about normal; the axis of a vector is the largest of all, and a query
+        with the cosine ``c`` to it has there ``c`` times as much and a normal rest.
+        """
+        if probes >= self.buckets:
+            return SLACK
+        normal = NormalDist()
+        largest, probed = normal.inv_cdf(1 - 1 / self.buckets), normal.inv_cdf(1 - probes / self.buckets)
+        for cosine in np.arange(0.01, 1, 0.01):
+            missed = normal.cdf((probed - largest * cosine) / math.sqrt(1 - cosine * cosine))
+            if 1 - missed**self.by_length >= LEAST_FOUND:
+                return float(cosine)
+        return 1.0
+
     def axes(self, rows: np.ndarray, table: int) -> np.ndarray:
         for signs in self.signs[table]:
             rows = hadamard(rows * signs)
@@ -123,7 +153,7 @@ class Layout:
 
     def __init__(self, rotation: Rotations, counts: list, blocks: int):
         self.blocks = blocks
-        per_bucket = np.zeros((len(rotation.signs), rotation.buckets), np.int64)
+        per_bucket = np.zeros((rotation.by_length + 1, rotation.buckets), np.int64)
         for table, bucket, n in counts:
             per_bucket[table, bucket] = n
         self.run_of, self.starts, self.parts, self.first = [], [], [], []
@@ -143,21 +173,21 @@ class Layout:
             next_cell += parts.sum()
 
 
-def _hashed(rotation: Rotations, longest: float, batches: Iterator[pa.RecordBatch]):
+def _hashed(rotation: Rotations, batches: Iterator[pa.RecordBatch]):
     """Slices of the index with the bucket of each vector in every table."""
     for whole in batches:
         for start in range(0, whole.num_rows, 1024):
             batch = whole.slice(start, 1024)
-            rows = matrix(batch.column("embedding")) / longest
-            rest = np.sqrt(np.maximum(0, 1 - np.sum(rows * rows, axis=1)))
-            padded = rotation.padded(rows, rest)
-            yield batch, [rotation.axes(padded, t).argmax(axis=1) for t in range(len(rotation.signs))]
+            rows = matrix(batch.column("embedding"))
+            lengths, padded = np.linalg.norm(rows, axis=1), rotation.padded(unit_rows(rows))
+            buckets = [rotation.axes(padded, t).argmax(axis=1) for t in range(rotation.by_length)]
+            yield batch, [*buckets, rotation.band(lengths)]
 
 
-def _counted(rotation: Rotations, longest: float):
+def _counted(rotation: Rotations):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((len(rotation.signs), rotation.buckets), np.int64)
-        for _, buckets in _hashed(rotation, longest, batches):
+        totals = np.zeros((rotation.by_length + 1, rotation.buckets), np.int64)
+        for _, buckets in _hashed(rotation, batches):
             for table, bucket in enumerate(buckets):
                 totals[table] += np.bincount(bucket, minlength=rotation.buckets)
         table, bucket = (c.astype(np.int32) for c in np.nonzero(totals))
@@ -166,14 +196,20 @@ def _counted(rotation: Rotations, longest: float):
     return count
 
 
-def _stored(rotation: Rotations, layout: Layout, longest: float, tables: range):
-    """A row per table and block of queries for each vector, with its bucket."""
+def _stored(rotation: Rotations, layout: Layout, tables: range, least: float):
+    """A row per table and block of queries for each vector, with its bucket.
+
+    In the table of lengths only vectors of the band of ``least``, which no query goes below, and longer ones.
+    """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, buckets in _hashed(rotation, longest, batches):
-            ids = batch.column("vec_id").to_numpy()
+        for whole, buckets in _hashed(rotation, batches):
             for table in tables:
-                bucket = buckets[table]
+                batch, bucket = whole, buckets[table]
+                if table == rotation.by_length:
+                    asked = np.flatnonzero(rotation.band_ends[bucket] >= least * (1 - SLACK))
+                    batch, bucket = whole.take(pa.array(asked)), bucket[asked]
+                ids = batch.column("vec_id").to_numpy()
                 run = layout.run_of[table][bucket]
                 part = (mixed(ids) % layout.parts[table][run].astype(np.uint64)).astype(np.int64)
                 bits = [b.tobytes() for b in np.packbits(np.eye(rotation.buckets, dtype=bool)[bucket], axis=1)]
@@ -185,18 +221,23 @@ def _stored(rotation: Rotations, layout: Layout, longest: float, tables: range):
 
 def _asked(rotation: Rotations, layout: Layout, probes: int, tables: range):
     """A row per visited cell for each query, with one bit for each bucket that it probes."""
+    surest = rotation.surest_cosine(probes)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
-                rows = unit_rows(matrix(batch.column("embedding")))
+                rows = matrix(batch.column("embedding"))
+                reach, bound = np.linalg.norm(rows, axis=1) * surest, batch.column("bound").to_numpy()
                 block = (mixed(batch.column("vec_id").to_numpy()) % np.uint64(layout.blocks)).astype(np.int64)
-                padded = rotation.padded(rows, 0.0)
+                padded = rotation.padded(unit_rows(rows))
                 for table in tables:
-                    best = np.argpartition(-rotation.axes(padded, table), probes - 1, axis=1)[:, :probes]
-                    hit = np.zeros((len(rows), rotation.buckets), bool)
-                    hit[np.arange(len(rows))[:, None], best] = True
+                    if table == rotation.by_length:
+                        hit = reach[:, None] * rotation.band_ends >= bound[:, None] * (1 - SLACK)
+                    else:
+                        best = np.argpartition(-rotation.axes(padded, table), probes - 1, axis=1)[:, :probes]
+                        hit = np.zeros((len(rows), rotation.buckets), bool)
+                        hit[np.arange(len(rows))[:, None], best] = True
                     at, run = np.nonzero(np.logical_or.reduceat(hit, layout.starts[table], axis=1))
                     parts = layout.parts[table][run]
                     at, run = np.repeat(at, parts), np.repeat(run, parts)
