@@ -1,4 +1,5 @@
 import random
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,21 @@ def test_registers_estimate_the_similarity():
         assert abs((signature[x] == signature[y]).mean() - exact) < 0.04
 
 
+def test_pairs_left_unverified_are_few_beside_those_without_a_band():
+    registers, p = minhash.BANDS * minhash.ROWS, minhash.SIMILARITY
+    prints = np.zeros((registers + 1, registers), np.uint16)
+    for equal in range(registers + 1):
+        prints[equal, equal:] = 1
+    rows = pa.record_batch(
+        [pa.array(np.zeros(registers + 1, np.int64)), pa.array(np.arange(registers + 1))]
+        + [pa.array([r.tobytes() for r in x], pa.binary()) for x in (np.zeros_like(prints), prints)],
+        ["a", "b", "print_a", "print_b"],
+    )
+    passed = {k for batch in minhash._agreeing(iter([rows])) for k in batch.column("b").to_pylist()}
+    lost = sum(comb(registers, k) * p**k * (1 - p) ** (registers - k) for k in range(registers + 1) if k not in passed)
+    assert lost < 0.001 * (1 - p**minhash.ROWS) ** minhash.BANDS
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(0, k) for k in range(500, 600)] + [(k, k + 1) for k in range(700, 760)] + [(None, 3), (4, 4)]
