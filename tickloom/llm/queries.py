@@ -9,12 +9,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import languages, lengths, minhash, near_vectors, neighbours, packing, pieces, secret_scan, toxicity, warc
+from tickloom.llm import (
+    alignment,
+    languages,
+    lengths,
+    minhash,
+    near_vectors,
+    neighbours,
+    packing,
+    pieces,
+    ranked_search,
+    secret_scan,
+    slack_packing,
+    toxicity,
+    warc,
+)
 from tickloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 HELD_OUT, FOLDS = 2, 4
-BPE, SENTENCEPIECE = "word_bpe_49k.json", "piece_bpe_32k.model"
+BPE, SENTENCEPIECE, BYTE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def _held_out():
@@ -92,6 +106,25 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
 
 
+def op11_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document, with its sequence and place."""
+    packed = slack_packing.pack_tokens(read(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
+    digest = F.crc32("ids").alias("ids_crc32")
+    return packed.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and a digest of the groups of every text, and how common its links are."""
+    tokenizers = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(SENTENCEPIECE)
+    aligned = alignment.align_tokens(read(spark, folder, "documents"), *tokenizers)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return alignment.with_link_counts(aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.ranked_search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -105,6 +138,9 @@ QUERIES: dict[str, Query] = {
         op8_pieces,
         op9_toxicity,
         op10_neighbours,
+        op11_slack_packing,
+        op12_alignment,
+        op13_ranked_search,
     )
 }
 
@@ -141,5 +177,30 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id < last THEN last END AS refers_to
 FROM hashed
+""",
+    "op13_ranked_search": r"""
+WITH words AS (
+  SELECT 0 AS of, item_id AS id, text FROM benchmark UNION ALL SELECT 1, doc_id, text FROM documents),
+terms AS (
+  SELECT of, id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM words),
+counts AS (SELECT of, id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT id, count(*) AS n FROM terms WHERE of = 1 GROUP BY id),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * n_docs + 2) / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM counts, totals WHERE of = 1 GROUP BY term, n_docs),
+scores AS (
+  SELECT q.id AS item_id, d.id AS doc_id, CAST(sum(q.tf * w *
+    ((1000000000 * d.tf) // (1000 * d.tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM counts q JOIN counts d ON q.of = 0 AND d.of = 1 AND q.term = d.term
+    JOIN weights ON weights.term = d.term JOIN lengths ON lengths.id = d.id, totals
+  GROUP BY q.id, d.id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 20
 """,
 }
