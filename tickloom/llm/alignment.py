@@ -18,7 +18,7 @@ from tickloom.llm.units import Units, gathered, joined_runs, units_of
 from tickloom.operators.lookup import lookup_join
 
 SPACE = "▁"
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links array<struct<a:int,b:int,n:int>>"
 
