@@ -2,6 +2,7 @@ import pytest
 
 from samples import PUBLISHED, arrive, at
 from tickloom import jobs
+from tickloom.sources import versions
 from tickloom.streaming import medallion
 
 
@@ -35,10 +36,14 @@ def test_layers_then_reports(spark, lake, capfd):
     for before, n_rows in (("2024-01-02", 20), ("2024-01-01", 0)):  # the published five are later
         lake("compact", "--layer", "silver", "--target", f"{lake.folder}/{before}", "--before", before)
         assert spark.read.schema("price DOUBLE").parquet(f"{lake.folder}/{before}").count() == n_rows
+    lake("compact", "--layer", "silver", "--target", f"{lake.folder}/finished", "--finished")
+    assert "compacted 2024-01-01\n" in capfd.readouterr().out
+    lake("compact", "--layer", "silver", "--target", f"{lake.folder}/finished", "--finished")
+    assert "compacted no day" in capfd.readouterr().out
     lake("replay", "--layer", "silver", "--target", f"{lake.folder}/merged", "--day", "2024-01-01")
-    assert spark.read.parquet(f"{lake.folder}/merged").count() == 45  # bronze keeps the repeats
+    assert versions.read_version(spark, f"{lake.folder}/merged").count() == 45  # bronze keeps the repeats
     lake("replay", "--layer", "silver", "--target", f"{lake.folder}/merged", "--day", "2024-01-01", "--once")
-    assert spark.read.parquet(f"{lake.folder}/merged").count() == 25  # as the layer was written
+    assert versions.read_version(spark, f"{lake.folder}/merged").count() == 25  # as the layer was written
 
 
 def test_console_latency_and_offsets(lake, capfd):

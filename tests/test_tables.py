@@ -11,7 +11,7 @@ from tickloom.functions.bands import PriceBands
 from tickloom.operators import maintenance, windows
 from tickloom.operators.cleaning import clean_ticks
 from tickloom.session import settings, work_folder
-from tickloom.sources import catalog, tables
+from tickloom.sources import catalog, tables, versions
 from tickloom.sources.messages import broker_options, read_messages
 from tickloom.streaming import medallion, runtime
 
@@ -162,12 +162,12 @@ def test_silver_replay_removes_what_is_gone(spark, folder):
     bronze = tables.write_table(ticks(spark, ROWS), f"{folder}/bronze", ["ingest_date"])
     tables.write_table(clean_ticks(bronze, WIDE), f"{folder}/silver", ["ingest_date", "symbol"])
     maintenance.replay_silver_day(spark, f"{folder}/bronze", f"{folder}/silver", D2, TIGHT)
-    got = tables.read_table(spark, f"{folder}/silver")
+    got = versions.read_version(spark, f"{folder}/silver")
     # Symbol B has no clean tick left on the second day; the first day is as it was.
     assert sorted(values(got.select(RAW))) == sorted(ROWS[:4])
     none = PriceBands({"A": 100.0, "B": 100.0})
     maintenance.replay_silver_day(spark, f"{folder}/bronze", f"{folder}/silver", D2, none)
-    assert sorted(values(tables.read_table(spark, f"{folder}/silver").select(RAW))) == sorted(ROWS[:3])
+    assert sorted(values(versions.read_version(spark, f"{folder}/silver").select(RAW))) == sorted(ROWS[:3])
 
 
 def test_gold_replay_reaches_over_midnight(spark, folder):
@@ -177,7 +177,7 @@ def test_gold_replay_reaches_over_midnight(spark, folder):
     tables.write_table(gold, f"{folder}/gold", ["window_date"])
     bands = PriceBands({"A": 1.0}, 0.5, 5.0)
     maintenance.replay_gold_day(spark, f"{folder}/bronze", f"{folder}/gold", D1, bands, final=False)
-    got = tables.read_table(spark, f"{folder}/gold")
+    got = versions.read_version(spark, f"{folder}/gold")
     fresh = windows.sliding_average(clean_ticks(bronze, bands))
     columns = ["window_start", "avg_price", "n_ticks"]
     for day, source in ((D1, fresh), (D2, gold)):
@@ -230,3 +230,43 @@ def test_work_folders_differ_and_follow_the_setting(spark):
     assert a != b
     if base:
         assert a.startswith(base)
+
+
+def test_only_newly_finished_days_are_compacted(spark, folder):
+    def run(rows):
+        arrive(spark, rows, f"{folder}/inbox")
+        started = medallion.start_medallion(
+            stream(spark, f"{folder}/inbox"), folder, PriceBands({}), live=False, layers=[medallion.SILVER, medallion.GOLD]
+        )
+        runtime.run_to_end(*started.values())
+        return maintenance.compact_finished(
+            spark, silver, target, medallion.GOLD.checkpoint_path(folder), "ingest_date", ["symbol"], ["event_time"]
+        )
+
+    silver, target = medallion.SILVER.path(folder), f"{folder}/compacted"
+    rows = [("A", 1.0, 1.0, at(s)) for s in (0, 9, DAY, DAY + 60)]
+    assert run(rows) == []  # the watermark is two minutes back, in the first day
+    assert run([("A", 1.0, 1.0, at(DAY + 121))]) == [D1]
+    assert files_of(versions.read_version(spark, target)) == 1
+    assert run([("A", 1.0, 1.0, at(DAY + 200)), ("B", 2.0, 1.0, at(2 * DAY + 500))]) == [D2]
+    assert versions.latest_version(spark, target) == 2
+    # a late tick reaches a finished day: that day is read from the layer, then copied again
+    sent = [*rows, ("A", 1.0, 1.0, at(DAY + 121)), ("A", 1.0, 1.0, at(DAY + 200)), ("B", 2.0, 1.0, at(2 * DAY + 500)), ("C", 3.0, 1.0, at(7))]
+    arrive(spark, sent[-1:], f"{folder}/inbox")
+    started = medallion.start_medallion(
+        stream(spark, f"{folder}/inbox"), folder, PriceBands({}), live=False, layers=[medallion.SILVER]
+    )
+    runtime.run_to_end(*started.values())
+    whole = maintenance.read_compacted(spark, silver, target, "ingest_date")
+    assert sorted(values(whole.select(RAW))) == sorted(sent)
+    assert run([("A", 1.0, 1.0, at(2 * DAY + 501))]) == [D1]
+    compacted = versions.read_version(spark, target)
+    assert sorted(values(compacted.select(RAW))) == sorted(row for row in sent if row[3] < at(2 * DAY))
+
+
+def test_nothing_is_finished_without_a_watermark(spark, folder):
+    silver = stream_silver(spark, folder, [ROWS])
+    checkpoint = medallion.SILVER.checkpoint_path(folder)
+    assert maintenance.compact_finished(spark, silver, f"{folder}/c", checkpoint, "ingest_date") == []
+    assert maintenance.compact_finished(spark, silver, f"{folder}/c", f"{folder}/none", "ingest_date") == []
+    assert sorted(values(maintenance.read_compacted(spark, silver, f"{folder}/c", "ingest_date").select(RAW))) == sorted(ROWS)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.bands import LOWER_RATIO, UPPER_RATIO, PriceBands
 from tickloom.operators import maintenance, olap, star, windows
@@ -20,7 +21,7 @@ from tickloom.operators.ticks import decode_messages, encode_messages, normalise
 from tickloom.session import build_session
 from tickloom.sources import catalog, tables
 from tickloom.sources.messages import TOPIC, broker_options, read_messages, write_messages
-from tickloom.streaming import medallion, observe, runtime
+from tickloom.streaming import medallion, observe, progress, runtime
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace, streaming: bool = True) -> DataFrame:
@@ -32,18 +33,24 @@ def _messages(spark: SparkSession, args: argparse.Namespace, streaming: bool = T
     return read_messages(spark, "kafka", options, streaming=streaming)
 
 
-def _wait(spark: SparkSession, queries: Sequence, live: bool) -> None:
-    """Run until one query ends or the user interrupts, or to the end of what is there."""
-    if not live:
-        runtime.run_to_end(*queries)
-    else:
+def _run(spark: SparkSession, root: str, start: Callable[[], Sequence[StreamingQuery]], live: bool) -> None:
+    """Run until one query ends or the user interrupts, or to the end of what is there.
+
+    Progress is logged below ``root``; what is printed covers earlier runs too.
+    """
+    with progress.progress_log(spark, f"{root}/progress") as log:
+        queries = start()
         try:
-            spark.streams.awaitAnyTermination()
+            if live:
+                spark.streams.awaitAnyTermination()
+            else:
+                runtime.run_to_end(*queries)
         except KeyboardInterrupt:
             pass
         finally:
             runtime.stop_all(queries)
-    runtime.progress_table(spark, queries).drop("sources").show(truncate=False)
+            log.complete(queries)
+    progress.query_totals(progress.read_progress(spark, f"{root}/progress")).orderBy("query").show(truncate=False)
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -57,14 +64,18 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def layers(spark: SparkSession, args: argparse.Namespace) -> None:
     """Write bronze, silver and gold."""
-    started = medallion.start_medallion(
-        _messages(spark, args),
-        args.root,
-        live=not args.drain,
-        state_partitions=args.state_partitions,
-        once=args.once,
-    )
-    _wait(spark, list(started.values()), not args.drain)
+
+    def start() -> list[StreamingQuery]:
+        started = medallion.start_medallion(
+            _messages(spark, args),
+            args.root,
+            live=not args.drain,
+            state_partitions=args.state_partitions,
+            once=args.once,
+        )
+        return list(started.values())
+
+    _run(spark, args.root, start, not args.drain)
 
 
 def console(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -75,21 +86,27 @@ def console(spark: SparkSession, args: argparse.Namespace) -> None:
         ("moving_avg_console", windows.sliding_average_stream(clean).drop("window_date"), "update", "15 seconds", 20),
         ("per_symbol_console", windows.running_stats(clean), "complete", "15 seconds", 20),
     )
-    queries = [
-        runtime.start_console(
-            rows, name, f"{args.root}/console/{name}", mode, None if args.drain else every, shown
-        )
-        for name, rows, mode, every, shown in views
-    ]
-    _wait(spark, queries, not args.drain)
+
+    def start() -> list[StreamingQuery]:
+        return [
+            runtime.start_console(
+                rows, name, f"{args.root}/console/{name}", mode, None if args.drain else every, shown
+            )
+            for name, rows, mode, every, shown in views
+        ]
+
+    _run(spark, args.root, start, not args.drain)
 
 
 def latency(spark: SparkSession, args: argparse.Namespace) -> None:
     """Print how old ticks are when they are read."""
     seen = observe.with_split_lag(decode_messages(_messages(spark, args)))
     every = None if args.drain else "5 seconds"
-    query = runtime.start_console(seen, "lag", f"{args.root}/console/lag", "append", every, 5)
-    _wait(spark, [query], not args.drain)
+
+    def start() -> list[StreamingQuery]:
+        return [runtime.start_console(seen, "lag", f"{args.root}/console/lag", "append", every, 5)]
+
+    _run(spark, args.root, start, not args.drain)
 
 
 def offsets(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -143,8 +160,15 @@ def register(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Copy a layer, or its days before ``--before``, into larger files at ``--target``."""
+    """Copy a layer, its days before ``--before``, or its newly ``--finished`` days, into larger files at ``--target``."""
     layer = {layer.name: layer for layer in medallion.LAYERS}[args.layer]
+    if args.finished:
+        column, *inner = layer.partition_by
+        days = maintenance.compact_finished(
+            spark, layer.path(args.root), args.target, medallion.GOLD.checkpoint_path(args.root), column, inner, [layer.time_column]
+        )
+        print(f"compacted {', '.join(map(str, days)) or 'no day'}")
+        return
     finished = F.col(layer.partition_by[0]) < F.lit(args.before) if args.before else None
     maintenance.compact(
         spark, layer.path(args.root), args.target, layer.partition_by, finished, sort_by=[layer.time_column]
@@ -203,6 +227,9 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--layer", choices=choices, required=True)
         job.add_argument("--target", required=True)
     jobs.choices["compact"].add_argument("--before", type=dt.date.fromisoformat, help="only days before this one")
+    jobs.choices["compact"].add_argument(
+        "--finished", action="store_true", help="only days that gold is done with and that are not copied yet"
+    )
     job.add_argument("--day", type=dt.date.fromisoformat, required=True)
     job.add_argument("--once", action="store_true", help="drop repeated ticks, as the layer does")
     job.add_argument("--lower-ratio", type=float, default=LOWER_RATIO)

@@ -101,12 +101,14 @@ VOLUME_BY_ASSET = f"""{STAR}
 SELECT ingest_date, base_asset, round(sum(volume), 2) AS total_volume, count(*) AS n_ticks
 FROM fact_ticks JOIN dim_symbol USING (symbol_key) GROUP BY ingest_date, base_asset"""
 
-# A row that arrives after the watermark only counts in windows that end beyond it.
-LATE = f"""
-WITH {SILVER},
+MIDDLE = """
 middle AS (
   SELECT min(ts) + to_microseconds((epoch_us(max(ts)) - epoch_us(min(ts))) // 2) AS at_ts FROM events
-),
+)"""
+
+# A row that arrives after the watermark only counts in windows that end beyond it.
+LATE = f"""
+WITH {SILVER},{MIDDLE},
 raw AS (
   SELECT upper(event_type) || 'USDT' AS symbol, value AS price, ts >= (SELECT at_ts FROM middle) AS first_half_late,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume,
@@ -256,8 +258,24 @@ GROUP BY symbol, window_start""",
     "late_rows": LATE,
     "open_windows": f"""WITH {SILVER},{_windows()}
 SELECT symbol, window_start, window_end FROM windows WHERE NOT ({CLOSED})""",
+    "replay_versions": f"""WITH {TICKS},{ANCHORED},
+judged AS (SELECT ingest_date, {IN_BAND} AS wide, {IN_TIGHT_BAND} AS tight FROM anchored WHERE {SANE})
+SELECT version, ingest_date, count(*) AS n_ticks
+FROM judged, (VALUES (1::BIGINT), (2), (3)) versions(version)
+WHERE CASE WHEN version = 3 OR (version = 2 AND ingest_date = {REPLAYED_DAY}) THEN tight ELSE wide END
+GROUP BY version, ingest_date""",
+    "compaction_ledger": f"""WITH {SILVER},{MIDDLE},
+-- what gold is done with after each run
+finished AS (
+  SELECT max(event_time) FILTER (event_time < (SELECT date_trunc('second', at_ts) FROM middle)) - INTERVAL 2 MINUTE AS first_run,
+         max(event_time) - INTERVAL 2 MINUTE AS second_run
+  FROM silver
+)
+SELECT ingest_date, CAST(1 + (ingest_date >= CAST(first_run AS DATE))::INT AS BIGINT) AS version, count(*) AS n_ticks
+FROM silver, finished WHERE ingest_date < CAST(second_run AS DATE) GROUP BY ALL""",
+    "compaction_read": CLEANED,
     "progress_table": """
-SELECT query, (SELECT count(*) FROM events) AS input_rows
+SELECT query, CAST(2 AS BIGINT) AS runs, (SELECT count(*) FROM events) AS input_rows
 FROM (VALUES ('bronze_parquet'), ('silver_parquet'), ('gold_parquet')) names(query)""",
     # one batch reads the table, and if the watermark moved one more closes windows
     "checkpoint_inventory": f"""WITH {SILVER},

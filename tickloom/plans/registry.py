@@ -9,15 +9,17 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.bands import PriceBands, anchor_price
 from tickloom.operators import cleaning, maintenance, olap, star, ticks, windows
 from tickloom.session import pin_utc, work_folder
-from tickloom.sources import catalog, events, tables
-from tickloom.streaming import dedup, medallion, observe, runtime
+from tickloom.sources import catalog, events, tables, versions
+from tickloom.streaming import dedup, medallion, observe, progress, runtime
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -229,7 +231,25 @@ def replay_day(spark: SparkSession, folder: str) -> DataFrame:
         cleaning.clean_ticks(layer, events.EVENT_BANDS), silver, ["ingest_date", "symbol"]
     )
     maintenance.replay_silver_day(spark, bronze, silver, REPLAY_DAY, TIGHT_BANDS)
-    return tables.read_table(spark, silver)
+    return versions.read_version(spark, silver)
+
+
+def replay_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Ticks per day in each version of a table: written, one day replayed, all days with other bands."""
+    root = work_folder(spark, "versions")
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    layer = tables.write_table(_ticks(spark, folder), bronze, ["ingest_date"], gather=False)
+    versions.overwrite(cleaning.clean_ticks(layer, events.EVENT_BANDS), silver, "ingest_date", ["symbol"], ["event_time"])
+    maintenance.replay_silver_day(spark, bronze, silver, REPLAY_DAY, TIGHT_BANDS)
+    versions.overwrite(cleaning.clean_ticks(layer, TIGHT_BANDS), silver, "ingest_date", ["symbol"], ["event_time"])
+    counts = [
+        versions.read_version(spark, silver, version)
+        .groupBy("ingest_date")
+        .agg(F.count(F.lit(1)).alias("n_ticks"))
+        .withColumn("version", F.lit(version).cast("long"))
+        for version in range(1, versions.latest_version(spark, silver) + 1)
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def replay_gold_day(spark: SparkSession, folder: str) -> DataFrame:
@@ -240,7 +260,7 @@ def replay_gold_day(spark: SparkSession, folder: str) -> DataFrame:
     silver = cleaning.clean_ticks(layer, events.EVENT_BANDS)
     tables.write_table(windows.sliding_average(silver), gold, ["window_date"])
     maintenance.replay_gold_day(spark, bronze, gold, REPLAY_DAY, TIGHT_BANDS)
-    return _rounded(tables.read_table(spark, gold), "avg_price")
+    return _rounded(versions.read_version(spark, gold), "avg_price")
 
 
 # --- streams ----------------------------------------------------------------------------
@@ -356,15 +376,51 @@ def open_windows(spark: SparkSession, folder: str) -> DataFrame:
     return observe.open_windows(spark, medallion.GOLD.checkpoint_path(root))
 
 
-def progress_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows each of three concurrent queries has read, from their progress reports."""
-    root = work_folder(spark, "progress")
+def _run_layers(spark: SparkSession, root: str, arrived: DataFrame, *layers: medallion.Layer) -> list[StreamingQuery]:
+    """Let ``arrived`` come in as messages and run layers on their checkpoints until all is read."""
+    arrived.write.mode("append").parquet(f"{root}/inbox")
+    inbox = spark.readStream.schema(arrived.schema).parquet(f"{root}/inbox")
     started = medallion.start_medallion(
-        _message_stream(spark, folder), root, events.EVENT_BANDS, live=False
+        events.event_messages(inbox), root, events.EVENT_BANDS, live=False, layers=layers
     )
     runtime.run_to_end(*started.values())
-    progress = runtime.progress_table(spark, started.values())
-    return progress.groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
+    return list(started.values())
+
+
+def progress_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that each of three queries has read over two runs, from the log of their progress."""
+    root = work_folder(spark, "progress")
+    with progress.progress_log(spark, f"{root}/progress") as log:
+        for arrived in _halves(spark, folder):
+            log.complete(_run_layers(spark, root, arrived, *medallion.LAYERS))
+    totals = progress.query_totals(progress.read_progress(spark, f"{root}/progress"))
+    return totals.select("query", "runs", "input_rows")
+
+
+def compaction_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver compacted after each of two runs: which commit copied each finished day, and its ticks."""
+    layer, root = medallion.SILVER, work_folder(spark, "ledger")
+    path, target, (column, *inner) = layer.path(root), f"{root}/compacted", layer.partition_by
+    for arrived in _halves(spark, folder):
+        _run_layers(spark, root, arrived, layer, medallion.GOLD)
+        checkpoint = medallion.GOLD.checkpoint_path(root)
+        maintenance.compact_finished(spark, path, target, checkpoint, column, inner, [layer.time_column])
+    commits = versions.manifest(spark, target).select("version", F.col("part").cast("date").alias(column))
+    days = versions.read_version(spark, target).groupBy(column).agg(F.count(F.lit(1)).alias("n_ticks"))
+    return commits.join(days, column).select(column, "version", "n_ticks")
+
+
+def compaction_read(spark: SparkSession, folder: str) -> DataFrame:
+    """All of silver, its finished days from the compacted table and the others from the layer."""
+    layer, root = medallion.SILVER, work_folder(spark, "compacted")
+    path, target, (column, *inner) = layer.path(root), f"{root}/compacted", layer.partition_by
+    earlier, later = _halves(spark, folder)
+    _run_layers(spark, root, earlier, layer, medallion.GOLD)
+    maintenance.compact_finished(
+        spark, path, target, medallion.GOLD.checkpoint_path(root), column, inner, [layer.time_column]
+    )
+    _run_layers(spark, root, later, layer)
+    return maintenance.read_compacted(spark, path, target, column)
 
 
 def checkpoint_inventory(spark: SparkSession, folder: str) -> DataFrame:
@@ -427,6 +483,9 @@ QUERIES: dict[str, Query] = {
     "star_sql": star_sql,
     "replay_day": replay_day,
     "replay_gold_day": replay_gold_day,
+    "replay_versions": replay_versions,
+    "compaction_ledger": compaction_ledger,
+    "compaction_read": compaction_read,
     "bronze_stream": _layer_stream(medallion.BRONZE),
     "silver_stream": _layer_stream(medallion.SILVER),
     "gold_stream": _layer_stream(medallion.GOLD, "avg_price"),

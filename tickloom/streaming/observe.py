@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.clock import instant, whole_seconds_between
+from tickloom.sources.tables import NOT_READY
 
 
 def with_lag(ticks: DataFrame, now: str | None = None) -> DataFrame:
@@ -53,6 +56,32 @@ def checkpoint_files(spark: SparkSession, checkpoint: str) -> DataFrame:
     )
 
 
+def batch_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> dt.datetime | None:
+    """The watermark that a micro-batch runs with, from the plan that is logged before it runs.
+
+    None as long as no event time has moved it, and for a query without one.
+    """
+    lines = spark.read.text(f"{checkpoint}/offsets/{batch_id}")
+    return _moment(lines.filter("value LIKE '%batchWatermarkMs%'"), "$.batchWatermarkMs")
+
+
+def committed_watermark(spark: SparkSession, checkpoint: str) -> dt.datetime | None:
+    """The watermark that a query will go on with, from the last batch it has committed; None if there is none."""
+    try:
+        commits = spark.read.text(f"{checkpoint}/commits")
+    except AnalysisException as problem:
+        if problem.getCondition() in NOT_READY:
+            return None
+        raise
+    return _moment(commits.filter("value LIKE '%nextBatchWatermarkMs%'"), "$.nextBatchWatermarkMs")
+
+
+def _moment(lines: DataFrame, field: str) -> dt.datetime | None:
+    """The largest value of a field of JSON lines, in UTC; the watermark never goes back."""
+    ms = lines.agg(F.max(F.get_json_object("value", field).cast("bigint"))).first()[0]
+    return dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc) if ms else None
+
+
 def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The stateful operators of a checkpoint and their number of partitions."""
     return spark.read.format("state-metadata").load(checkpoint)

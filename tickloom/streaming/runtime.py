@@ -10,15 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.session import ROCKSDB, settings
-
-# Reports that a running query keeps; 20 days of batches at one in 20 seconds.
-KEPT_REPORTS = 86_400
-# Columns of the progress table.
-PROGRESS = (
-    "query STRING, run_id STRING, batch_id BIGINT, started STRING, input_rows BIGINT,"
-    " input_rows_per_second DOUBLE, processed_rows_per_second DOUBLE, trigger_ms BIGINT,"
-    " rows_dropped_by_watermark BIGINT, watermark STRING, sources STRING"
-)
+from tickloom.streaming.progress import PROGRESS, progress_row
 
 
 def _writer(
@@ -41,7 +33,6 @@ def _start(
     values = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-        "spark.sql.streaming.numRecentProgressUpdates": str(KEPT_REPORTS),
     }
     if state_partitions:
         values["spark.sql.shuffle.partitions"] = str(state_partitions)
@@ -158,31 +149,11 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
 
 
 def progress_table(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """The batches of each query since it started, one row per batch, the last ``KEPT_REPORTS``."""
+    """The newest batches of running queries, as many as the session remembers.
+
+    :mod:`tickloom.streaming.progress` keeps all of them.
+    """
     return spark.createDataFrame(
-        [_progress_row(json.loads(report.json)) for query in queries for report in query.recentProgress],
+        [progress_row(json.loads(report.json)) for query in queries for report in query.recentProgress],
         PROGRESS,
     )
-
-
-def _progress_row(report: dict) -> tuple:
-    dropped = [state.get("numRowsDroppedByWatermark", 0) for state in report["stateOperators"]]
-    return (
-        report["name"],
-        report["runId"],
-        report["batchId"],
-        report["timestamp"],
-        report["numInputRows"],
-        _rate(report, "inputRowsPerSecond"),
-        _rate(report, "processedRowsPerSecond"),
-        report.get("durationMs", {}).get("triggerExecution"),
-        sum(dropped),
-        report.get("eventTime", {}).get("watermark"),
-        json.dumps(report["sources"]),
-    )
-
-
-def _rate(report: dict, name: str) -> float | None:
-    """A rate as a number; reports leave it out or give text when no time has passed."""
-    value = report.get(name)
-    return float(value) if isinstance(value, (int, float)) else None
