@@ -1,0 +1,132 @@
+import itertools
+import random
+import subprocess
+import sys
+
+import pyarrow as pa
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from samples import arrive, at, messages, stream, ticks, values
+from tickloom.operators.cleaning import drop_repeats
+from tickloom.streaming import medallion, runtime, settle
+
+RAW = ["symbol", "price", "volume", "timestamp"]
+
+
+def run(spark, folder, batches, **options):
+    for batch in batches:
+        arrive(spark, batch, f"{folder}/inbox")
+        rows = settle.settle_repeats_stream(medallion.bronze_rows(stream(spark, f"{folder}/inbox")), **options)
+        runtime.run_to_end(runtime.start_table(rows, "settle", f"{folder}/out", f"{folder}/check"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+def raw(rows):
+    return sorted(values(rows.select(RAW)), key=str)
+
+
+def test_the_lowest_copy_is_kept_over_batches(spark, folder):
+    first = [("A", 5.0, 1.0, at(100)), ("A", 4.0, 9.0, at(100)), ("B", 2.0, 2.0, at(101))]
+    second = [("A", 4.0, 3.0, at(100)), ("A", 7.0, 0.0, at(100)), ("B", 3.0, 1.0, at(101)), ("C", 1.0, 1.0, at(150))]
+    got = run(spark, folder, [first, second, [("Z", 1.0, 1.0, at(900))]])
+    assert got.columns == RAW + ["event_time", "ingest_date"]
+    expected = drop_repeats(ticks(spark, first + second))
+    assert raw(got) == raw(expected) == [("A", 4.0, 3.0, at(100)), ("B", 2.0, 2.0, at(101)), ("C", 1.0, 1.0, at(150))]
+    assert dict(got.dtypes) == dict(expected.dtypes)
+    assert sorted(values(got)) == sorted(values(expected))
+
+
+def test_random_arrivals_give_the_rows_of_batch(spark, folder):
+    dice = random.Random(7)
+    sent = [(dice.choice("AB"), float(dice.randrange(9)), float(dice.randrange(3)), at(s + dice.choice((0, 0.5)))) for s in range(300) for _ in range(3)]
+    late = dice.sample(sent, 300)
+    batches = [sent[:300], sent[300:600] + [(s, p - 1, v, t) for s, p, v, t in late if at(30) < t < at(200)], sent[600:]]
+    got = run(spark, folder, [*batches, [("Z", 1.0, 1.0, at(5000))]], hold=400, memory=600)
+    assert raw(got) == raw(drop_repeats(ticks(spark, list(itertools.chain(*batches)))))
+
+
+def test_later_copies_are_dropped_and_new_late_ticks_pass(spark, folder):
+    batches = [
+        [("A", 5.0, 1.0, at(0)), ("A", 1.0, 1.0, at(500))],
+        [("A", 1.0, 1.0, at(0)), ("A", 2.0, 1.0, at(3)), ("A", 2.0, 1.0, at(3)), ("B", 8.0, 1.0, at(4))],
+        [("A", 9.0, 1.0, at(3)), ("B", 7.0, 1.0, at(4)), ("B", 6.0, 1.0, at(5))],
+    ]
+    got = run(spark, folder, batches, memory=3600)
+    assert raw(got) == sorted([("A", 5.0, 1.0, at(0)), ("A", 2.0, 1.0, at(3)), ("B", 8.0, 1.0, at(4)), ("B", 6.0, 1.0, at(5))], key=str)
+
+
+def test_memory_ends(spark, folder):
+    batches = [[("A", 5.0, 1.0, at(0))], [("A", 1.0, 1.0, at(5000))], [("A", 1.0, 1.0, at(0)), ("A", 1.0, 1.0, at(9000))]]
+    got = run(spark, folder, batches, memory=3600)
+    assert raw(got) == [("A", 1.0, 1.0, at(5000)), ("A", 5.0, 1.0, at(0))]  # the last but one is too late
+
+
+def test_nulls_repeat_nothing_and_pass_at_once(spark, folder):
+    rows = ["junk", "junk", None, (None, 1.0, 1.0, at(0)), (None, 1.0, 1.0, at(0)), ("A", 1.0, 1.0, None), ("A", None, 1.0, 10**17), ("A", None, 1.0, 10**17)]
+    assert run(spark, folder, [rows]).count() == len(rows)
+
+
+def test_null_and_odd_numbers_follow_the_order_of_batch(spark, folder):
+    nan = float("nan")
+    rows = [
+        ("A", 1.0, 1.0, at(0)), ("A", None, 1.0, at(0)), ("A", nan, 1.0, at(1)), ("A", 3.0, 1.0, at(1)),
+        ("B", 1.0, None, at(0)), ("B", 1.0, -5.0, at(0)), ("C", nan, None, at(-700)), ("D", -0.5, 2.0, at(-9)),
+    ]
+    body = [row if row[1] == row[1] else f'{{"symbol": "{row[0]}", "price": NaN, "volume": {row[2] or "null"}, "timestamp": {row[3]}}}' for row in rows]
+    got = run(spark, folder, [body, [("Z", 1.0, 1.0, at(5000))]])
+    assert str(raw(got)) == str(raw(drop_repeats(ticks(spark, rows))))  # as text, since NaN differs from itself
+
+
+def test_empty_stream(spark, folder):
+    messages(spark, [("A", 1.0, 1.0, at(0))]).limit(0).write.parquet(f"{folder}/inbox")
+    rows = settle.settle_repeats_stream(medallion.bronze_rows(stream(spark, f"{folder}/inbox")))
+    runtime.run_to_end(runtime.start_table(rows, "settle", f"{folder}/out", f"{folder}/check"))
+    assert spark.read.parquet(f"{folder}/out").count() == 0
+
+
+def test_copies_are_merged_before_the_shuffle():
+    merged = list(settle.lowest_copies(("k", "t"))([batch([("a", 1, 5.0, 1.0), ("b", 1, 1.0, 1.0), ("a", 1, 4.0, 2.0), ("a", 1, 4.0, 1.0), ("a", 2, None, 1.0), ("a", 2, 0.0, 1.0)])]))
+    assert [tuple(row.values()) for row in merged[0].to_pylist()] == [("b", 1, 1.0, 1.0), ("a", 1, 4.0, 1.0), ("a", 2, None, 1.0)]
+    assert list(settle.lowest_copies(("k", "t"))([batch([]) ]))[0].num_rows == 0
+
+
+def batch(rows):
+    kinds = [pa.string(), pa.int64(), pa.float64(), pa.float64()]
+    return pa.record_batch([pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)], ["k", "t", "price", "volume"])
+
+
+def test_memory_must_outlast_the_hold(spark, folder):
+    arrive(spark, [("A", 1.0, 1.0, at(0))], f"{folder}/inbox")
+    with pytest.raises(ValueError):
+        settle.settle_repeats_stream(medallion.bronze_rows(stream(spark, f"{folder}/inbox")), hold=120, memory=125)
+
+
+def test_state_needs_no_package_on_the_executors(folder):
+    with open(f"{folder}/fn", "wb") as out:
+        out.write(cloudpickle.dumps((settle._settler(1, 2, 3), settle.lowest_copies(("k",)))))
+    code = "import pickle, sys; pickle.load(open(sys.argv[1], 'rb')); print('tickloom' in sys.modules)"
+    done = subprocess.run([sys.executable, "-c", code, f"{folder}/fn"], cwd=folder, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "False", done.stderr
+
+
+def test_gold_once_uses_the_lowest_copies(spark, folder):
+    from tickloom.functions.bands import PriceBands
+    from tickloom.operators import windows
+
+    sent = [("A", float(s % 5 + 2), 1.0, at(s)) for s in range(0, 600, 7)]
+    copies = [(s, p - 1, v, t) for s, p, v, t in sent if at(400) < t]
+    for part in (sent, copies + [("A", 1.0, 1.0, at(1200))]):
+        arrive(spark, part, f"{folder}/inbox")
+        started = medallion.start_medallion(
+            stream(spark, f"{folder}/inbox"), folder, PriceBands({}), live=False, once=True, layers=[medallion.GOLD]
+        )
+        runtime.run_to_end(*started.values())
+    passed = F.col("timestamp") < at(470)  # of these the second run's copies came too late
+    clean = ticks(spark, sent)
+    expected = drop_repeats(clean.filter(passed).unionByName(drop_repeats(clean.unionByName(ticks(spark, copies))).filter(~passed)))
+    gold = windows.closed_windows(windows.sliding_average(expected), ticks(spark, [("A", 1.0, 1.0, at(1200))]), medallion.GOLD_MEMORY_SECONDS)
+    got = spark.read.parquet(medallion.GOLD.path(folder))
+    rounded = [rows.select("window_start", "n_ticks", F.round("avg_price", 9)) for rows in (got, gold)]
+    assert values(rounded[0], "window_start") == values(rounded[1], "window_start")

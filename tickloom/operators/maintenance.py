@@ -12,7 +12,13 @@ from pyspark.sql.types import StructType
 
 from tickloom.functions.bands import PriceBands
 from tickloom.operators.cleaning import clean_ticks, drop_repeats
-from tickloom.operators.windows import SLIDE_SECONDS, WINDOW_SECONDS, closed_windows, sliding_average
+from tickloom.operators.windows import (
+    LATENESS_SECONDS,
+    SLIDE_SECONDS,
+    WINDOW_SECONDS,
+    closed_windows,
+    sliding_average,
+)
 from tickloom.session import settings
 from tickloom.streaming.observe import committed_watermark
 from tickloom.sources import versions
@@ -173,6 +179,7 @@ def replay_gold_day(
     )
     windows = sliding_average(_clean(ticks, bands, once), size, slide)
     if final:
-        windows = closed_windows(windows, clean)
+        # a layer without repeats writes a window one window length later
+        windows = closed_windows(windows, clean, LATENESS_SECONDS + (size if once else 0))
     rows = windows.filter(F.col("window_date") == F.lit(day))
     versions.replace_parts(rows, table, "window_date", [day], sort_by=["window_start"])

@@ -253,6 +253,22 @@ GROUP BY symbol, window_start""",
     "running_stats": RUNNING,
     "sliding_update": ALL_WINDOWS,
     "dedup_stream": ONCE,
+    "dedup_settled": f"""WITH {TICKS},{MIDDLE},
+first_run AS (
+  SELECT max(date_trunc('second', ts)) AS latest FROM events, middle WHERE ts < at_ts
+),
+sent AS (
+  SELECT ticks.*, to_timestamp((timestamp // 3600000 + 1) * 3600)::TIMESTAMP + INTERVAL 1 DAY AS passes FROM ticks
+),
+came AS (
+  SELECT * FROM sent
+  UNION ALL
+  -- the copies that come before the tick has been passed on
+  SELECT sent.* REPLACE (price - 1 AS price) FROM sent, first_run, middle
+  WHERE make_timestamp(timestamp * 1000) < at_ts AND passes > latest
+)
+SELECT DISTINCT ON (symbol, timestamp) {TICK_COLUMNS} FROM came
+WHERE passes <= (SELECT max(event_time) FROM ticks) ORDER BY symbol, timestamp, price, volume""",
     "restart_resume": CLEANED,
     "restart_gold": CLOSED_WINDOWS,
     "late_rows": LATE,

@@ -19,14 +19,14 @@ from tickloom.functions.bands import PriceBands, anchor_price
 from tickloom.operators import cleaning, maintenance, olap, star, ticks, windows
 from tickloom.session import pin_utc, work_folder
 from tickloom.sources import catalog, events, tables, versions
-from tickloom.streaming import dedup, medallion, observe, progress, runtime
+from tickloom.streaming import dedup, medallion, observe, progress, runtime, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 NOW = "2024-02-01 00:00:00"
 REPLAY_DAY = dt.date(2024, 1, 15)
 TIGHT_BANDS = PriceBands(events.EVENT_BANDS.anchors, 0.5, 1.5)
-HOUR, TEN_MINUTES = 3600, 600
+HOUR, TEN_MINUTES, DAY = 3600, 600, 86_400
 FILES_PER_BATCH = 10_000
 STATE_PARTITIONS = 8
 
@@ -331,6 +331,19 @@ def dedup_stream(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, f"{root}/out")
 
 
+def dedup_settled(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies that disagree, in two runs: the lowest that came in time is kept, as in batch."""
+    root = work_folder(spark, "settled")
+    earlier, later = _halves(spark, folder)
+    for arrived in (earlier, later.unionByName(earlier.withColumn("value", F.col("value") - 1))):
+        arrived.write.mode("append").parquet(f"{root}/inbox")
+        inbox = spark.readStream.schema(arrived.schema).parquet(f"{root}/inbox")
+        sent = medallion.bronze_rows(events.event_messages(inbox))
+        once = settle.settle_repeats_stream(sent, DAY, 3 * DAY, HOUR, salts=1)
+        runtime.run_to_end(runtime.start_table(once, "settled", f"{root}/out", f"{root}/checkpoint"))
+    return tables.read_table(spark, f"{root}/out")
+
+
 def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The table in two arrivals: before and from the middle of its time span."""
     rows = events.read_events(spark, folder)
@@ -492,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "running_stats": running_stats,
     "sliding_update": sliding_update,
     "dedup_stream": dedup_stream,
+    "dedup_settled": dedup_settled,
     "restart_resume": restart_resume,
     "restart_gold": restart_gold,
     "late_rows": late_rows,

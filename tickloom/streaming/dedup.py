@@ -13,7 +13,10 @@ from tickloom.operators.windows import LATENESS_SECONDS
 
 
 def drop_repeats_stream(ticks: DataFrame, lateness: int = LATENESS_SECONDS) -> DataFrame:
-    """Pass the first tick of each ``(symbol, timestamp)`` on, at once.
+    """Pass the first tick of each ``(symbol, timestamp)`` on, at once, for copies that agree.
+
+    Where they may disagree, :func:`tickloom.streaming.settle.settle_repeats_stream` keeps the one that
+    batch keeps, but has to wait for it.
 
     Keys are remembered for ``lateness`` seconds of event time. The stateful operator takes
     every row to the task of its key, so a message repeated very often would load one task:

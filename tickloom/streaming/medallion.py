@@ -12,12 +12,12 @@ from tickloom.functions.bands import PriceBands
 from tickloom.operators.cleaning import clean_ticks, clean_with_anchor_table
 from tickloom.operators.ticks import decode_messages
 from tickloom.operators.windows import LATENESS_SECONDS, WINDOW_SECONDS, sliding_average_stream
-from tickloom.streaming.dedup import drop_repeats_stream
 from tickloom.streaming.runtime import start_table
+from tickloom.streaming.settle import MEMORY_SECONDS, settle_repeats_stream
 
 
 #: Silver remembers ticks for a day, so that a late one is only dropped when later than that.
-SILVER_MEMORY_SECONDS = 86_400
+SILVER_MEMORY_SECONDS = MEMORY_SECONDS
 #: Gold must let every tick pass that an open window could still take in.
 GOLD_MEMORY_SECONDS = LATENESS_SECONDS + WINDOW_SECONDS
 
@@ -83,15 +83,16 @@ def silver_rows(
 ) -> DataFrame:
     """Bronze rows that pass the outlier filter; with ``once``, without repeated ticks.
 
-    ``anchors (symbol, anchor_price)`` replaces the anchors of ``bands`` and may have any size. Repeats
-    are remembered for ``memory`` seconds; with ``once``, ticks later than that are dropped.
+    ``anchors (symbol, anchor_price)`` replaces the anchors of ``bands`` and may have any size. With
+    ``once``, a tick comes when event time is two minutes past it, as the lowest of its copies, and ticks
+    later than ``memory`` seconds are dropped.
     """
     bronze = bronze_rows(messages)
     if anchors is None:
         clean = clean_ticks(bronze, bands)
     else:
         clean = clean_with_anchor_table(bronze, anchors, bands.lower, bands.upper)
-    return drop_repeats_stream(clean, memory) if once else clean
+    return settle_repeats_stream(clean, memory=memory) if once else clean
 
 
 def gold_rows(
