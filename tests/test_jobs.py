@@ -3,7 +3,7 @@ import pytest
 from samples import PUBLISHED, arrive, at
 from tickloom import jobs
 from tickloom.sources import versions
-from tickloom.streaming import medallion
+from tickloom.streaming import medallion, together
 
 
 @pytest.fixture
@@ -57,6 +57,14 @@ def test_console_latency_and_offsets(lake, capfd):
     assert "|financial_data|0        |0           |46         |46  |" in out
 
 
+def test_all_tables_from_one_parse(spark, lake, capfd):
+    for _ in range(2):  # the second run finds nothing new
+        lake("together", *lake.inbox)
+    out = capfd.readouterr().out
+    assert "|together|1   |1      |46        |" in out and "cv_pct" in out
+    assert together.read_together(spark, lake.folder, "silver").count() == 45
+
+
 def test_arguments():
     parse = jobs.parser().parse_args
     args = parse(["layers", "--root", "r", "--servers", "a:1", "--max-per-trigger", "5"])

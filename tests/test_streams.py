@@ -265,6 +265,23 @@ def test_offset_span(spark):
     assert values(observe.offset_span(rows)) == [("financial_data", 0, 0, 5, 5), ("other", 0, 0, 2, 2)]
 
 
+def test_offsets_with_holes_and_repeats(spark):
+    offsets = [0, 1, 1, 5, 9, 10, 10, 10, 11, 30, None]
+    rows = spark.createDataFrame([("t", 0, o) for o in offsets] + [("t", 1, 7), (None, 0, 3), (None, 0, 5)], "topic STRING, partition INT, offset BIGINT")
+    for size in (1, 4, 1000):
+        assert values(observe.offset_report(rows, size)) == [
+            (None, 0, 3, 6, 3, 2, 2, 0, 1, 1),
+            ("t", 0, 0, 31, 31, 11, 7, 3, 24, 3),
+            ("t", 1, 7, 8, 1, 1, 1, 0, 0, 0),
+        ]
+        assert values(observe.offset_gaps(rows, size), "topic", "partition", "first_missing") == [
+            (None, 0, 4, 4), ("t", 0, 2, 4), ("t", 0, 6, 8), ("t", 0, 12, 29),
+        ]
+    nothing = observe.offset_report(rows.filter("offset IS NULL"))
+    assert values(nothing) == [("t", 0, None, None, None, 1, 0, 0, 0, 0)]
+    assert observe.offset_report(rows.limit(0)).count() == observe.offset_gaps(rows.limit(0)).count() == 0
+
+
 def test_failed_query_raises(spark, folder):
     arrive(spark, PUBLISHED, f"{folder}/inbox")
 

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.bands import LOWER_RATIO, UPPER_RATIO, PriceBands
-from tickloom.operators import maintenance, olap, star, windows
+from tickloom.operators import maintenance, moments, olap, star, windows
 from tickloom.operators.cleaning import clean_ticks
 from tickloom.operators.ticks import decode_messages, encode_messages, normalise_payloads
 from tickloom.session import build_session
 from tickloom.sources import catalog, tables
 from tickloom.sources.messages import TOPIC, broker_options, read_messages, write_messages
-from tickloom.streaming import medallion, observe, progress, runtime
+from tickloom.streaming import medallion, observe, progress, runtime, together
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace, streaming: bool = True) -> DataFrame:
@@ -78,6 +78,19 @@ def layers(spark: SparkSession, args: argparse.Namespace) -> None:
     _run(spark, args.root, start, not args.drain)
 
 
+def gather(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Write bronze, silver, late ticks and moments with one parse, and answer from the moments."""
+
+    def start() -> list[StreamingQuery]:
+        return [together.start_together(_messages(spark, args), args.root, every=None if args.drain else "20 seconds")]
+
+    _run(spark, args.root, start, not args.drain)
+    kept = together.read_together(spark, args.root, "moments")
+    for question in (moments.volatility, moments.rollup_volume):
+        print(question.__name__)
+        question(kept).show(50, truncate=False)
+
+
 def console(spark: SparkSession, args: argparse.Namespace) -> None:
     """Print clean ticks, changed windows and running totals."""
     clean = clean_ticks(decode_messages(_messages(spark, args)))
@@ -110,8 +123,10 @@ def latency(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def offsets(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Print first and next offset per topic partition."""
-    observe.offset_span(_messages(spark, args, streaming=False)).show(truncate=False)
+    """Print what each topic partition holds, and the offsets that are missing in it."""
+    messages = _messages(spark, args, streaming=False)
+    observe.offset_report(messages).show(truncate=False)
+    observe.offset_gaps(messages).orderBy("topic", "partition", "first_missing").show(truncate=False)
 
 
 def status(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -182,7 +197,7 @@ def replay(spark: SparkSession, args: argparse.Namespace) -> None:
     redo(spark, medallion.BRONZE.path(args.root), args.target, args.day, bands, once=args.once)
 
 
-STREAMS = {"layers": layers, "console": console, "latency": latency, "offsets": offsets}
+STREAMS = {"layers": layers, "together": gather, "console": console, "latency": latency, "offsets": offsets}
 ON_LAKE = {"status": status, "analyse": analyse, "star": build_star}
 
 

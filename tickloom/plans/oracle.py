@@ -158,6 +158,12 @@ SELECT time_bucket(INTERVAL {seconds} SECOND, event_time) AS window_start, symbo
 FROM silver GROUP BY ALL"""
 
 
+STEPS = """
+WITH sent AS (
+  SELECT CAST((length(event_type) + 4) % 3 AS INTEGER) AS "partition", event_id AS "offset" FROM events
+),
+steps AS (SELECT *, lag("offset") OVER (PARTITION BY "partition" ORDER BY "offset") AS before FROM sent)"""
+
 ONCE = f"""WITH {TICKS},
 twice AS (SELECT * FROM ticks UNION ALL SELECT * FROM ticks)
 SELECT DISTINCT ON (symbol, timestamp) {TICK_COLUMNS} FROM twice ORDER BY symbol, timestamp, price, volume"""
@@ -228,6 +234,16 @@ SELECT 'financial_data' AS topic, CAST((length(event_type) + 4) % 3 AS INTEGER)
        min(event_id) AS first_offset, max(event_id) + 1 AS next_offset,
        max(event_id) + 1 - min(event_id) AS span
 FROM events GROUP BY (length(event_type) + 4) % 3""",
+    "offset_report": f"""{STEPS}
+SELECT 'financial_data' AS topic, "partition", min("offset") AS first_offset, max("offset") + 1 AS next_offset,
+       max("offset") + 1 - min("offset") AS span,
+       CAST(sum(1 + ("offset" % 5 = 0)::INT) AS BIGINT) AS n_rows, count(*) AS n_offsets,
+       count(*) FILTER ("offset" % 5 = 0) AS n_repeats,
+       max("offset") + 1 - min("offset") - count(*) AS n_missing, count(*) FILTER ("offset" - before > 1) AS n_gaps
+FROM steps GROUP BY "partition" """,
+    "offset_gaps": f"""{STEPS}
+SELECT 'financial_data' AS topic, "partition", before + 1 AS first_missing, "offset" - 1 AS last_missing
+FROM steps WHERE "offset" - before > 1""",
     "tables_listed": f"""{STAR},{_windows()}
 SELECT 'bronze_ticks' AS layer, count(*) AS n_rows FROM ticks
 UNION ALL SELECT 'silver_ticks', count(*) FROM silver
@@ -293,6 +309,18 @@ FROM silver, finished WHERE ingest_date < CAST(second_run AS DATE) GROUP BY ALL"
     "progress_table": """
 SELECT query, CAST(2 AS BIGINT) AS runs, (SELECT count(*) FROM events) AS input_rows
 FROM (VALUES ('bronze_parquet'), ('silver_parquet'), ('gold_parquet')) names(query)""",
+    "together_layers": CLEANED,
+    # the watermark follows all messages of the later half, clean or not
+    "late_side_table": f"""WITH {SILVER},{MIDDLE},
+mark AS (SELECT max(date_trunc('second', ts)) - INTERVAL 2 MINUTE AS watermark FROM events, middle WHERE ts >= at_ts)
+SELECT {TICK_COLUMNS}, make_timestamp(timestamp * 1000) < at_ts AND event_time < watermark AS late
+FROM silver, middle, mark""",
+    "moments_daily": f"""WITH {SILVER}
+SELECT ingest_date, symbol, round(avg(price), 6) AS avg_price, count(*) AS n_ticks
+FROM silver GROUP BY ingest_date, symbol ORDER BY ingest_date, symbol""",
+    "moments_volatility": VOLATILITY,
+    "moments_rollup": _subtotals("ROLLUP"),
+    "moments_price_by_minute": _chart(60, "round(avg(price), 6) AS avg_price"),
     # one batch reads the table, and if the watermark moved one more closes windows
     "checkpoint_inventory": f"""WITH {SILVER},
 batches AS (SELECT CAST(1 + max((event_time IS NOT NULL)::INT) AS BIGINT) AS n FROM silver)

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.bands import PriceBands, anchor_price
-from tickloom.operators import cleaning, maintenance, olap, star, ticks, windows
+from tickloom.operators import cleaning, maintenance, moments, olap, star, ticks, windows
 from tickloom.session import pin_utc, work_folder
 from tickloom.sources import catalog, events, tables, versions
-from tickloom.streaming import dedup, medallion, observe, progress, runtime, settle
+from tickloom.streaming import dedup, medallion, observe, progress, runtime, settle, together
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,7 @@ TIGHT_BANDS = PriceBands(events.EVENT_BANDS.anchors, 0.5, 1.5)
 HOUR, TEN_MINUTES, DAY = 3600, 600, 86_400
 FILES_PER_BATCH = 10_000
 STATE_PARTITIONS = 8
+OFFSET_RANGE = 4_096
 
 
 def _ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,6 +108,20 @@ def offset_span(spark: SparkSession, folder: str) -> DataFrame:
     return observe.offset_span(_messages(spark, folder))
 
 
+def _with_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message, every fifth of them twice."""
+    sent = _messages(spark, folder)
+    return sent.unionByName(sent.filter("offset % 5 = 0"))
+
+
+def offset_report(spark: SparkSession, folder: str) -> DataFrame:
+    return observe.offset_report(_with_repeats(spark, folder), OFFSET_RANGE)
+
+
+def offset_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    return observe.offset_gaps(_with_repeats(spark, folder), OFFSET_RANGE)
+
+
 # --- layers, star schema and catalog ----------------------------------------------------
 
 
@@ -436,6 +451,41 @@ def compaction_read(spark: SparkSession, folder: str) -> DataFrame:
     return maintenance.read_compacted(spark, path, target, column)
 
 
+def _together(spark: SparkSession, arrivals: tuple[DataFrame, DataFrame]) -> str:
+    """Run the query that writes all tables from one parse over two arrivals; returns the root."""
+    root = work_folder(spark, "together")
+    for arrived in arrivals:
+        arrived.write.mode("append").parquet(f"{root}/inbox")
+        inbox = spark.readStream.schema(arrived.schema).parquet(f"{root}/inbox")
+        runtime.run_to_end(together.start_together(events.event_messages(inbox), root, events.EVENT_BANDS))
+    return root
+
+
+def together_layers(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver from two runs of the query that writes all tables."""
+    root = _together(spark, _halves(spark, folder))
+    return together.read_together(spark, root, "silver").drop("batch_id")
+
+
+def late_side_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All clean ticks when the older half arrives last: the late ones from their table, the others without them."""
+    earlier, later = _halves(spark, folder)
+    root = _together(spark, (later, earlier))
+    late = together.read_together(spark, root, "late").select("*", F.lit(True).alias("late"))
+    rest = together.in_time(spark, root).select("*", F.lit(False).alias("late"))
+    return rest.unionByName(late.drop("watermark")).drop("batch_id")
+
+
+def _on_moments(question: Callable[[DataFrame], DataFrame], *rounded: str) -> Query:
+    """A question asked of moments that two runs have written."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = _together(spark, _halves(spark, folder))
+        return _rounded(question(together.read_together(spark, root, "moments")), *rounded)
+
+    return query
+
+
 def checkpoint_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """Batches that a gold checkpoint has planned and committed, and the partitions of its state."""
     root = _streamed(spark, folder, medallion.GOLD, state_partitions=STATE_PARTITIONS)
@@ -490,6 +540,8 @@ QUERIES: dict[str, Query] = {
     "latency_total": latency_total,
     "latency_split": latency_split,
     "offset_span": offset_span,
+    "offset_report": offset_report,
+    "offset_gaps": offset_gaps,
     "tables_listed": tables_listed,
     "compaction": compaction,
     "compaction_finished": compaction_finished,
@@ -512,6 +564,12 @@ QUERIES: dict[str, Query] = {
     "open_windows": open_windows,
     "progress_table": progress_table,
     "checkpoint_inventory": checkpoint_inventory,
+    "together_layers": together_layers,
+    "late_side_table": late_side_table,
+    "moments_daily": _on_moments(moments.daily_average),
+    "moments_volatility": _on_moments(moments.volatility),
+    "moments_rollup": _on_moments(moments.rollup_volume),
+    "moments_price_by_minute": _on_moments(moments.price_series, "avg_price"),
 }
 
 

@@ -8,6 +8,7 @@ import re
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickloom.functions.clock import instant, whole_seconds_between
 from tickloom.sources.tables import NOT_READY
@@ -41,6 +42,80 @@ def offset_span(messages: DataFrame) -> DataFrame:
     )
 
 
+TOPIC_PARTITION = ("topic", "partition")
+#: Offsets that one task puts in order at once.
+OFFSET_RANGE = 1 << 20
+
+
+def offset_report(messages: DataFrame, size: int = OFFSET_RANGE) -> DataFrame:
+    """What a topic partition holds: its span as in :func:`offset_span`, and how whole that is.
+
+    ``n_rows`` counts messages, ``n_offsets`` distinct offsets, ``n_repeats`` the messages whose offset was
+    there already, ``n_missing`` the offsets inside the span that no message has, ``n_gaps`` the runs they
+    form. A message without offset counts in ``n_rows`` alone.
+    """
+    runs = _runs(messages, size)
+    counts = messages.groupBy(*TOPIC_PARTITION).agg(F.count(F.lit(1)).alias("n_rows"), F.count("offset").alias("_with"))
+    spans = runs.groupBy(*TOPIC_PARTITION).agg(
+        F.min("first").alias("first_offset"),
+        (F.max("last") + 1).alias("next_offset"),
+        F.sum("n_offsets").alias("n_offsets"),
+        F.sum("n_gaps").alias("n_gaps"),
+    )
+    same = [F.col(f"counts.{name}").eqNullSafe(F.col(f"spans.{name}")) for name in TOPIC_PARTITION]
+    joined = counts.alias("counts").join(spans.alias("spans"), same, "left")
+    span = F.col("next_offset") - F.col("first_offset")
+    none = F.lit(0).cast("long")
+    return joined.select(
+        "counts.topic",
+        "counts.partition",
+        "first_offset",
+        "next_offset",
+        span.alias("span"),
+        "n_rows",
+        F.coalesce("n_offsets", none).alias("n_offsets"),
+        (F.col("_with") - F.coalesce("n_offsets", none)).alias("n_repeats"),
+        F.coalesce(span - F.col("n_offsets"), none).alias("n_missing"),
+        F.coalesce("n_gaps", none).alias("n_gaps"),
+    ).orderBy("topic", "partition")
+
+
+def offset_gaps(messages: DataFrame, size: int = OFFSET_RANGE) -> DataFrame:
+    """``(topic, partition, first_missing, last_missing)``: every run of offsets that no message has.
+
+    Offsets are put in order range by range, so no task sees a whole topic partition; what lies between
+    ranges is found from one row a range.
+    """
+    ordered = _in_order(messages, size)
+    before = F.lag("offset").over(Window.partitionBy(*TOPIC_PARTITION, "_range").orderBy("offset"))
+    inside = ordered.withColumn("_before", before).select(*TOPIC_PARTITION, "_before", F.col("offset").alias("_after"))
+    between = _runs(messages, size).select(*TOPIC_PARTITION, F.col("before").alias("_before"), F.col("first").alias("_after"))
+    steps = inside.unionByName(between).filter(F.col("_after") - F.col("_before") > 1)
+    return steps.select(*TOPIC_PARTITION, (F.col("_before") + 1).alias("first_missing"), (F.col("_after") - 1).alias("last_missing"))
+
+
+def _in_order(messages: DataFrame, size: int) -> DataFrame:
+    """Distinct offsets with the range they belong to; copies are merged before they move."""
+    offsets = messages.filter("offset IS NOT NULL").select(*TOPIC_PARTITION, "offset").distinct()
+    return offsets.withColumn("_range", F.floor(F.col("offset") / size))
+
+
+def _runs(messages: DataFrame, size: int) -> DataFrame:
+    """A row per range: its first and last offset, the last one before it, and the gaps up to its end."""
+    within = Window.partitionBy(*TOPIC_PARTITION, "_range").orderBy("offset")
+    stepped = _in_order(messages, size).withColumn("_step", F.col("offset") - F.lag("offset").over(within))
+    ranges = stepped.groupBy(*TOPIC_PARTITION, "_range").agg(
+        F.min("offset").alias("first"),
+        F.max("offset").alias("last"),
+        F.count(F.lit(1)).alias("n_offsets"),
+        F.count(F.when(F.col("_step") > 1, 1)).alias("_gaps"),
+    )
+    before = F.lag("last").over(Window.partitionBy(*TOPIC_PARTITION).orderBy("_range"))
+    joined = ranges.withColumn("before", before)
+    gap = F.when(F.col("first") - F.col("before") > 1, 1).otherwise(0)
+    return joined.select(*TOPIC_PARTITION, "first", "last", "before", "n_offsets", (F.col("_gaps") + gap).alias("n_gaps"))
+
+
 def checkpoint_files(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Every file of a checkpoint with its folder and size; contents are not read."""
     files = (
