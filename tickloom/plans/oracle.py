@@ -287,6 +287,7 @@ SELECT DISTINCT ON (symbol, timestamp) {TICK_COLUMNS} FROM came
 WHERE passes <= (SELECT max(event_time) FROM ticks) ORDER BY symbol, timestamp, price, volume""",
     "restart_resume": CLEANED,
     "restart_gold": CLOSED_WINDOWS,
+    "restart_partitions": CLOSED_WINDOWS,
     "late_rows": LATE,
     "open_windows": f"""WITH {SILVER},{_windows()}
 SELECT symbol, window_start, window_end FROM windows WHERE NOT ({CLOSED})""",

@@ -19,7 +19,7 @@ from tickloom.functions.bands import PriceBands, anchor_price
 from tickloom.operators import cleaning, maintenance, moments, olap, star, ticks, windows
 from tickloom.session import pin_utc, work_folder
 from tickloom.sources import catalog, events, tables, versions
-from tickloom.streaming import dedup, medallion, observe, progress, runtime, settle, together
+from tickloom.streaming import dedup, medallion, observe, progress, reseed, runtime, settle, together
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -392,6 +392,29 @@ def restart_gold(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_in_two_runs(spark, medallion.GOLD, _halves(spark, folder)), "avg_price")
 
 
+def restart_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold from a run with 4 state partitions and one with 16 that goes on from its open windows."""
+    root = work_folder(spark, "repartitioned")
+    earlier, later = _halves(spark, folder)
+    first = medallion.start_medallion(
+        _arrived(spark, earlier, f"{root}/first"), root, events.EVENT_BANDS, live=False, state_partitions=4, layers=[medallion.GOLD]
+    )
+    runtime.run_to_end(*first.values())
+    reseed.export_open_windows(spark, medallion.GOLD.checkpoint_path(root), f"{root}/seeds")
+    second = reseed.start_seeded_gold(
+        _arrived(spark, later, f"{root}/second"), f"{root}/seeds", f"{root}/gold", f"{root}/checkpoint", events.EVENT_BANDS, state_partitions=16
+    )
+    runtime.run_to_end(second)
+    both = tables.read_table(spark, medallion.GOLD.path(root)).unionByName(tables.read_table(spark, f"{root}/gold"))
+    return _rounded(both, "avg_price")
+
+
+def _arrived(spark: SparkSession, rows: DataFrame, inbox: str) -> DataFrame:
+    """Rows written to a folder of their own, as a stream of messages."""
+    rows.write.parquet(inbox)
+    return events.event_messages(spark.readStream.schema(rows.schema).parquet(inbox))
+
+
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Gold when the older half arrives last: only its still open windows take it in."""
     earlier, later = _halves(spark, folder)
@@ -560,6 +583,7 @@ QUERIES: dict[str, Query] = {
     "dedup_settled": dedup_settled,
     "restart_resume": restart_resume,
     "restart_gold": restart_gold,
+    "restart_partitions": restart_partitions,
     "late_rows": late_rows,
     "open_windows": open_windows,
     "progress_table": progress_table,
