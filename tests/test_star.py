@@ -87,3 +87,35 @@ def test_a_long_calendar_moves_no_fact(spark, folder):
     plain = full[0].join(full[2], "symbol_key").join(full[3], "market_key").join(full[1], "time_key")
     columns = sorted(plain.columns)
     assert values(rows.select(*columns), "time_key") == values(plain.select(*columns), "time_key")
+
+
+def test_the_stored_calendar_spares_the_time_dimension(spark, folder, written):
+    calendar = star.read_calendar(spark, folder)
+    rows = star.full_star(written["fact_ticks"], calendar, written["dim_symbol"], written["dim_market"])
+    assert "dim_time" not in plan_text(rows) and "dim_day" in plan_text(rows)
+    plain = star.full_star(*(written[n] for n in ("fact_ticks", "dim_time", "dim_symbol", "dim_market")))
+    assert sorted(values(rows)) == sorted(values(plain))
+
+
+def test_a_star_grows_by_its_new_keys(spark, folder):
+    star.write_star(ticks(spark, ROWS[:3]), folder)
+    files = {row[0] for row in star.read_star(spark, folder)["dim_time"].select(F.input_file_name()).distinct().collect()}
+    later = [*ROWS[3:], ("SOLUSDT", 7.0, 1.0, at(2 * DAY)), ("SOLUSDT", 7.0, 1.0, None)]
+    for _ in range(2):  # again, as after a failure
+        grown = star.add_to_star(ticks(spark, later), folder)
+        whole = star.write_star(ticks(spark, [*ROWS[:3], *later]), f"{folder}/whole")
+        for name, rows in whole.items():
+            assert sorted(values(grown[name].select(rows.columns)), key=str) == sorted(values(rows), key=str), name
+        for name in ("days", "minutes"):
+            tables = [getattr(star.read_calendar(spark, root), name) for root in (folder, f"{folder}/whole")]
+            assert len({tuple(sorted(values(table), key=str)) for table in tables}) == 1
+    kept = {row[0] for row in star.read_star(spark, folder)["dim_time"].select(F.input_file_name()).distinct().collect()}
+    assert files <= kept  # what was known has not been written again
+
+
+def test_only_keys_near_the_new_ones_are_read(spark, folder, written):
+    rows = star.dim_time(ticks(spark, ROWS[3:]))
+    star.append_new(rows, f"{folder}/dim_time", "time_key", ordered=True)
+    assert spark.read.parquet(f"{folder}/dim_time").count() == 2
+    star.append_new(rows.limit(0), f"{folder}/dim_time", "time_key", ordered=True)
+    assert spark.read.parquet(f"{folder}/dim_time").count() == 2

@@ -97,6 +97,10 @@ fact_ticks AS (
   FROM silver
 )"""
 
+FULL_STAR = f"""{STAR}
+SELECT * FROM fact_ticks JOIN dim_symbol USING (symbol_key) JOIN dim_market USING (market_key)
+JOIN dim_time USING (time_key)"""
+
 VOLUME_BY_ASSET = f"""{STAR}
 SELECT ingest_date, base_asset, round(sum(volume), 2) AS total_volume, count(*) AS n_ticks
 FROM fact_ticks JOIN dim_symbol USING (symbol_key) GROUP BY ingest_date, base_asset"""
@@ -205,9 +209,9 @@ UNION ALL SELECT 'gold', count(*) FROM gold""",
     "fact_ticks": f"{STAR} SELECT * FROM fact_ticks",
     "star_volume": VOLUME_BY_ASSET,
     "star_sql": VOLUME_BY_ASSET,
-    "star_full": f"""{STAR}
-SELECT * FROM fact_ticks JOIN dim_symbol USING (symbol_key) JOIN dim_market USING (market_key)
-JOIN dim_time USING (time_key)""",
+    "star_full": FULL_STAR,
+    "star_grown": FULL_STAR,
+    "dim_time_grown": f"{STAR} SELECT * FROM dim_time",
     "star_calendar": f"""{STAR}
 SELECT exchange, venue_type, settlement_currency, base_asset, quote_asset, weekday, hour,
        round(sum(volume), 2) AS total_volume, count(*) AS n_ticks

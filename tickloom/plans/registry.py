@@ -158,9 +158,33 @@ def star_volume(spark: SparkSession, folder: str) -> DataFrame:
     return star.volume_by_asset(star.fact_ticks(_silver(spark, folder)), dim_symbol(spark, folder))
 
 
-def _star(spark: SparkSession, folder: str) -> list[DataFrame]:
-    written = star.write_star(_silver(spark, folder), work_folder(spark, "star"))
-    return [written[name] for name in ("fact_ticks", "dim_time", "dim_symbol", "dim_market")]
+def _star(spark: SparkSession, folder: str) -> list[DataFrame | star.Calendar]:
+    """Written facts, calendar, symbols and markets."""
+    root = work_folder(spark, "star")
+    written = star.write_star(_silver(spark, folder), root)
+    return [written["fact_ticks"], star.read_calendar(spark, root), written["dim_symbol"], written["dim_market"]]
+
+
+def _star_in_two(spark: SparkSession, folder: str) -> str:
+    """A star written for the days before one, to which that day and the later ones are added."""
+    root, silver = work_folder(spark, "star-grown"), _silver(spark, folder)
+    early = F.col("ingest_date") < F.lit(REPLAY_DAY)
+    star.write_star(silver.filter(early), root)
+    star.add_to_star(silver.filter(~early), root)
+    return root
+
+
+def star_grown(spark: SparkSession, folder: str) -> DataFrame:
+    """The full star over facts and dimensions that were written in two steps."""
+    root = _star_in_two(spark, folder)
+    written = star.read_star(spark, root)
+    calendar = star.read_calendar(spark, root)
+    return star.full_star(written["fact_ticks"], calendar, written["dim_symbol"], written["dim_market"])
+
+
+def dim_time_grown(spark: SparkSession, folder: str) -> DataFrame:
+    """The time dimension of that star: no moment twice, none missing."""
+    return star.read_star(spark, _star_in_two(spark, folder))["dim_time"]
 
 
 def star_full(spark: SparkSession, folder: str) -> DataFrame:
@@ -547,6 +571,8 @@ QUERIES: dict[str, Query] = {
     "fact_ticks": fact_ticks,
     "star_volume": star_volume,
     "star_full": star_full,
+    "star_grown": star_grown,
+    "dim_time_grown": dim_time_grown,
     "star_calendar": star_calendar,
     "sliding_average": _on_silver(windows.sliding_average, "avg_price"),
     "sliding_average_hour": _on_silver(
