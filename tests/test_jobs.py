@@ -65,6 +65,19 @@ def test_all_tables_from_one_parse(spark, lake, capfd):
     assert together.read_together(spark, lake.folder, "silver").count() == 45
 
 
+def test_an_anchor_table(spark, lake):
+    anchors = spark.createDataFrame([("BTCUSDT", 1.0), *((f"S{k}", 1.0) for k in range(300))], "symbol string, anchor_price double")
+    anchors.write.parquet(f"{lake.folder}/anchors")
+    lake("layers", *lake.inbox, "--anchors", f"{lake.folder}/anchors")
+    # of the published five, Bitcoin is far from this anchor and the others have none
+    assert spark.read.parquet(medallion.SILVER.path(lake.folder)).count() == 4
+    replayed = ["--layer", "silver", "--target", f"{lake.folder}/day", "--day", "2024-01-01"]
+    lake("replay", *replayed)
+    assert versions.read_version(spark, f"{lake.folder}/day").count() == 40
+    lake("replay", *replayed, "--anchors", f"{lake.folder}/anchors")
+    assert versions.read_version(spark, f"{lake.folder}/day").count() == 0
+
+
 def test_arguments():
     parse = jobs.parser().parse_args
     args = parse(["layers", "--root", "r", "--servers", "a:1", "--max-per-trigger", "5"])

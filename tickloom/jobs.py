@@ -33,6 +33,11 @@ def _messages(spark: SparkSession, args: argparse.Namespace, streaming: bool = T
     return read_messages(spark, "kafka", options, streaming=streaming)
 
 
+def _anchors(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
+    """The anchor table, for more symbols than have anchors in the code."""
+    return spark.read.parquet(args.anchors).select("symbol", "anchor_price") if args.anchors else None
+
+
 def _run(spark: SparkSession, root: str, start: Callable[[], Sequence[StreamingQuery]], live: bool) -> None:
     """Run until one query ends or the user interrupts, or to the end of what is there.
 
@@ -72,6 +77,7 @@ def layers(spark: SparkSession, args: argparse.Namespace) -> None:
             live=not args.drain,
             state_partitions=args.state_partitions,
             once=args.once,
+            anchors=_anchors(spark, args),
         )
         return list(started.values())
 
@@ -82,7 +88,8 @@ def gather(spark: SparkSession, args: argparse.Namespace) -> None:
     """Write bronze, silver, late ticks and moments with one parse, and answer from the moments."""
 
     def start() -> list[StreamingQuery]:
-        return [together.start_together(_messages(spark, args), args.root, every=None if args.drain else "20 seconds")]
+        every = None if args.drain else "20 seconds"
+        return [together.start_together(_messages(spark, args), args.root, anchors=_anchors(spark, args), every=every)]
 
     _run(spark, args.root, start, not args.drain)
     kept = together.read_together(spark, args.root, "moments")
@@ -194,7 +201,7 @@ def replay(spark: SparkSession, args: argparse.Namespace) -> None:
     """Compute a day of silver or gold again, into the batch-owned table at ``--target``."""
     redo = {"silver": maintenance.replay_silver_day, "gold": maintenance.replay_gold_day}[args.layer]
     bands = PriceBands(lower=args.lower_ratio, upper=args.upper_ratio)
-    redo(spark, medallion.BRONZE.path(args.root), args.target, args.day, bands, once=args.once)
+    redo(spark, medallion.BRONZE.path(args.root), args.target, args.day, bands, once=args.once, anchors=_anchors(spark, args))
 
 
 STREAMS = {"layers": layers, "together": gather, "console": console, "latency": latency, "offsets": offsets}
@@ -230,6 +237,8 @@ def parser() -> argparse.ArgumentParser:
     layers_job.add_argument("--once", action="store_true", help="drop repeated ticks")
     for name, run in ON_LAKE.items():
         add(name, run)
+    for job in (layers_job, jobs.choices["together"]):
+        job.add_argument("--anchors", help="Parquet table of symbol and anchor_price")
     add("register", register).add_argument("--database")
     job = add("publish", publish, lake=False)
     add_topic(job)
@@ -245,6 +254,7 @@ def parser() -> argparse.ArgumentParser:
     jobs.choices["compact"].add_argument(
         "--finished", action="store_true", help="only days that gold is done with and that are not copied yet"
     )
+    job.add_argument("--anchors", help="Parquet table of symbol and anchor_price")
     job.add_argument("--day", type=dt.date.fromisoformat, required=True)
     job.add_argument("--once", action="store_true", help="drop repeated ticks, as the layer does")
     job.add_argument("--lower-ratio", type=float, default=LOWER_RATIO)

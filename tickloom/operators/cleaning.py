@@ -56,8 +56,8 @@ def drop_repeats(ticks: DataFrame) -> DataFrame:
     runs again cannot change the result. Repeats are merged before the shuffle, and only the
     four raw columns travel. Ticks with a NULL in the key are all kept.
     """
-    raw = ticks.select("symbol", "price", "volume", "timestamp")
-    keyed = raw.filter(has_whole_key()).groupBy(*REPEAT_KEY)
+    # a tick that cannot repeat another one is a group of its own, so the input is read once
+    alone = F.when(~has_whole_key(), F.monotonically_increasing_id())
+    keyed = ticks.select("symbol", "price", "volume", "timestamp", alone.alias("_alone")).groupBy(*REPEAT_KEY, "_alone")
     kept = keyed.agg(F.min(F.struct("price", "volume")).alias("kept"))
-    once = kept.select("symbol", "kept.price", "kept.volume", "timestamp")
-    return add_event_time(once.unionByName(raw.filter(~has_whole_key())))
+    return add_event_time(kept.select("symbol", "kept.price", "kept.volume", "timestamp"))

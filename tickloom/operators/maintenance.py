@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.functions.bands import PriceBands
-from tickloom.operators.cleaning import clean_ticks, drop_repeats
+from tickloom.operators.cleaning import clean_ticks, clean_with_anchor_table, drop_repeats
 from tickloom.operators.windows import (
     LATENESS_SECONDS,
     SLIDE_SECONDS,
@@ -131,8 +131,8 @@ def read_compacted(
     return versions.read_version(spark, target).filter(copied).unionByName(rows.filter(~copied))
 
 
-def _clean(ticks: DataFrame, bands: PriceBands, once: bool) -> DataFrame:
-    clean = clean_ticks(ticks, bands)
+def _clean(ticks: DataFrame, bands: PriceBands, once: bool, anchors: DataFrame | None = None) -> DataFrame:
+    clean = clean_ticks(ticks, bands) if anchors is None else clean_with_anchor_table(ticks, anchors, bands.lower, bands.upper)
     return drop_repeats(clean) if once else clean
 
 
@@ -143,15 +143,16 @@ def replay_silver_day(
     day: dt.date,
     bands: PriceBands = PriceBands(),
     once: bool = False,
+    anchors: DataFrame | None = None,
 ) -> None:
     """Filter one day of bronze again, after a change of rule.
 
-    Give ``once`` if the layer was written with it: bronze keeps repeats. Only that day's bronze folder
+    Give ``once`` and ``anchors`` as the layer was written with: bronze keeps repeats. Only that day's bronze folder
     is read. ``table`` is one of :mod:`tickloom.sources.versions`: its readers see the day as it was until
     the new one is whole, also if the job dies half way.
     """
     ticks = spark.read.parquet(bronze).filter(F.col("ingest_date") == F.lit(day))
-    rows = _clean(ticks, bands, once)
+    rows = _clean(ticks, bands, once, anchors)
     versions.replace_parts(rows, table, "ingest_date", [day], ["symbol"], ["event_time"])
 
 
@@ -165,6 +166,7 @@ def replay_gold_day(
     slide: int = SLIDE_SECONDS,
     once: bool = False,
     final: bool = True,
+    anchors: DataFrame | None = None,
 ) -> None:
     """Compute the windows that start on one day again.
 
@@ -172,12 +174,12 @@ def replay_gold_day(
     clean tick of all bronze leaves open are not final and stay out, as they do in the layer; with
     ``final=False`` they are written too, for a table that has them.
     """
-    clean = clean_ticks(spark.read.parquet(bronze), bands)
+    clean = _clean(spark.read.parquet(bronze), bands, False, anchors)
     reach = day + dt.timedelta(days=1 + size // 86400)
     ticks = spark.read.parquet(bronze).filter(
         F.col("ingest_date").between(F.lit(day), F.lit(reach))
     )
-    windows = sliding_average(_clean(ticks, bands, once), size, slide)
+    windows = sliding_average(_clean(ticks, bands, once, anchors), size, slide)
     if final:
         # a layer without repeats writes a window one window length later
         windows = closed_windows(windows, clean, LATENESS_SECONDS + (size if once else 0))
