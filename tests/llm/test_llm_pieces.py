@@ -1,4 +1,6 @@
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
@@ -18,6 +20,25 @@ def test_odd_texts():
         assert ENGINE.decode(ids) == text.replace("▁", " ")
 
 
+def test_units_are_forgotten_by_generations(monkeypatch):
+    monkeypatch.setattr(pieces, "MOST_UNITS", 3)
+    engine = pieces.PieceTransducer(PATH)
+    text = "one two, three. four five, six one two seven eight one nine. ten one"
+    for _ in range(2):
+        assert engine.encode(text) == MODEL.encode(text)
+    assert len(engine.known) <= 3 and len(engine.older) <= 3 and "▁one" in {**engine.known, **engine.older}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab.,É  \n\t漢▁") | st.characters(codec="utf-8"), max_size=40), max_size=5))
+def test_many_texts_at_once(texts):
+    ids, sizes, n_bytes, same = ENGINE.encode_all(pa.array([*texts, None], pa.string()))
+    parts = [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert parts == [MODEL.encode(text) for text in [*texts, ""]]
+    assert n_bytes.tolist() == [sum(MODEL.is_byte(i) for i in part) for part in parts]
+    assert same.all()
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=80))
 def test_any_text(text):

@@ -5,16 +5,20 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from tickloom.llm.tables import text_slices, texts_of
+from tickloom.llm.tables import text_slices
+from tickloom.llm.units import Units, gathered, joined_runs, units_of
 
 SPACE = "▁"
 NONE, FALLBACK = -1, -2
 MOST_UNITS = 1 << 18
+MARKS = ",."
 MOST_PAIRS = 1 << 20
 
 
@@ -28,8 +32,9 @@ class PieceTransducer:
     of finite weight, and the tropical shortest path is found from left to right.
 
     Inputs are composed unit by unit, a unit being spaces and the characters up to the next ones: no
-    piece has a space after another character, which is checked here. Units are remembered, ``MOST_UNITS``
-    of them at a time.
+    piece has a space after another character, which is checked here. A mark after a letter is a unit too
+    where no piece holds both. Units are remembered in two generations of ``MOST_UNITS``: when the younger
+    one is full the older one goes, so that what is in use stays.
     """
 
     def __init__(self, path: str):
@@ -54,8 +59,17 @@ class PieceTransducer:
         # the arcs as a prefix tree: a piece has its id, a mere beginning of pieces NONE
         self.arcs = {piece[:k]: NONE for piece in self.ids for k in range(1, len(piece))} | self.ids
         self.pieces = {i: p for p, i in self.ids.items()}
+        self.arrow_bytes = pa.array(self.bytes_of, pa.large_binary())
+        self.is_byte = np.zeros(len(self.bytes_of), bool)
+        self.is_byte[self.byte_ids] = True
         self.apart: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.marks = {
+            mark: (self.ids[mark],)
+            for mark in MARKS
+            if mark in self.ids and not any(mark in piece and any(c.isalpha() for c in piece) for piece in self.ids)
+        }
 
     # the normaliser: a space in front, spaces as visible marks, everything else as it is
     def units(self, text: str) -> list[str]:
@@ -77,15 +91,53 @@ class PieceTransducer:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; the empty text has none."""
-        ids: list[int] = []
-        for unit in self.units(text):
-            found = self.known.get(unit)
-            if found is None:
-                if len(self.known) >= MOST_UNITS:
-                    self.known.clear()
-                found = self.known[unit] = tuple(self.shortest_path(unit))
-            ids += found
-        return ids
+        return [i for unit in self.units(text) for i in self._of_unit(unit)]
+
+    def _of_unit(self, unit: str) -> tuple[int, ...]:
+        mark = self.marks.get(unit[-1:], ())
+        if mark and unit[-2:-1].isalpha():
+            unit = unit[:-1]
+        else:
+            mark = ()
+        found = self.known.get(unit)
+        if found is None:
+            found = self.older.get(unit)
+            if len(self.known) >= MOST_UNITS:
+                self.older, self.known = self.known, {}
+            found = self.known[unit] = tuple(self.shortest_path(unit)) if found is None else found
+        return found + mark
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, how many each has, how many of them are bytes, and whether
+        they give the text back; each distinct unit is composed once. Null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        filled = pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
+        if self.by_units:
+            units = units_of(texts)
+        else:
+            whole = texts.cast(pa.large_string()).dictionary_encode()
+            code = whole.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            units = Units(whole.dictionary, np.zeros(len(whole.dictionary), bool), code, np.ones(len(code), np.int64))
+        found = [self._of_unit(SPACE + word.replace(" ", SPACE)) for word in units.distinct.to_pylist()]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
+        owner = np.repeat(np.arange(len(filled)), units.counts)
+        code, used = units.code[filled[owner]], owner[filled[owner]]
+
+        def summed(per_unit: np.ndarray) -> np.ndarray:
+            return np.bincount(used, per_unit[code], len(filled)).astype(np.int64)
+
+        ends = np.concatenate([[0], np.cumsum(self.is_byte[ids])])[np.cumsum(sizes)] if len(sizes) else sizes
+        n_bytes = summed(np.diff(ends, prepend=0))
+        wrong = summed(~self._gives_back(units.distinct, ids, sizes))
+        return gathered(ids, sizes, code), summed(sizes), n_bytes, wrong == 0
+
+    def _gives_back(self, units: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which units, with a space in front, are what the bytes of their ids join to."""
+        data = self.arrow_bytes.take(pa.array(ids))
+        joined = joined_runs(data, np.concatenate([[0], np.cumsum(sizes)]), b"")
+        given = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), pc.replace_substring(units, SPACE, " "), pa.scalar("", pa.large_string()))
+        return pc.equal(joined, given.cast(pa.large_binary())).to_numpy(zero_copy_only=False)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, without the space that the normaliser put in front."""
@@ -155,8 +207,10 @@ def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            ids = [transducer(model).encode(text) for text in texts_of(batch)]
-            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            ids, sizes, _, _ = transducer(model).encode_all(batch.column("text"))
+            cuts = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            lists = pa.ListArray.from_arrays(cuts, pa.array(ids.astype(np.int32)))
+            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), lists], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids array<int>")
 
@@ -183,16 +237,10 @@ def piece_digest(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        engine = transducer(model)
-        is_byte = np.zeros(len(engine.bytes_of), bool)
-        is_byte[engine.byte_ids] = True
         for batch in text_slices(batches):
-            rows = []
-            for text in texts_of(batch):
-                ids = engine.encode(text)
-                flat = np.array(ids, "<u4")
-                rows.append((len(ids), int(is_byte[flat].sum()), zlib.crc32(flat), engine.decode(ids) == text.replace(SPACE, " ")))
-            columns = [pa.array(c) for c in zip(*rows)]
+            ids, sizes, n_bytes, same = transducer(model).encode_all(batch.column("text"))
+            parts = np.split(ids.astype("<u4"), np.cumsum(sizes)[:-1])
+            columns = [sizes, n_bytes, np.array([zlib.crc32(part) for part in parts], np.int64), same]
             yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), *columns], ["doc_id", "n_pieces", "n_bytes", "ids_crc32", "round_trip"])
 
     schema = "doc_id long, n_pieces long, n_bytes long, ids_crc32 long, round_trip boolean"
