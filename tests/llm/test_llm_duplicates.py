@@ -66,8 +66,10 @@ def frame(spark, rows):
     return spark.createDataFrame([(*row, "clash", "clash", "clash") for row in rows], DOCS)
 
 
-@pytest.mark.parametrize("pivots, large_rounds", [(64, 2), (2, 1)])
-def test_classes_equal_all_pairs(spark, monkeypatch, pivots, large_rounds):
+@pytest.mark.parametrize("largest, pivots, large_rounds", [(4096, 64, 2), (6, 64, 2), (1, 2, 1)])
+def test_classes_equal_all_pairs(spark, monkeypatch, largest, pivots, large_rounds):
+    monkeypatch.setattr(minhash, "BUCKET_NODES", largest)
+    monkeypatch.setattr(minhash, "BUCKET_BYTES", 100_000)
     monkeypatch.setattr(minhash, "PIVOTS", pivots)
     monkeypatch.setattr(minhash, "LARGE_ROUNDS", large_rounds)
     rows = corpus()
@@ -87,6 +89,32 @@ def test_a_bucket_without_links_at_its_first_document(spark):
     assert got == brute_classes(rows)
 
 
+def test_different_texts_under_one_id(spark):
+    words = [f"c{k}" for k in range(100)]
+    a, b = " ".join(words), " ".join(f"d{k}" for k in range(100))
+    rows = [(1, a), (1, b), (5, b + " more"), (9, a + " more"), (9, a + " more"), (2, b + " other"), (3, None), (3, None), (3, "")]
+    got = sorted(((r.doc_id, r.class_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows)).collect()))
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 3, True), (3, 3, True), (3, 3, True), (5, 1, False), (9, 1, False), (9, 1, False)]
+    kept = minhash.drop_near_duplicates(frame(spark, rows)).select("doc_id", "text")
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a), (1, b), (3, None), (3, "")], key=str)
+
+
+def test_copies_of_one_id(spark):
+    base = " ".join(f"c{k}" for k in range(100))
+    rows = [(4, base + " end"), (4, base), (4, base), (7, base + " more")]
+    kept = minhash.drop_near_duplicates(frame(spark, rows)).collect()
+    assert [r.doc_id for r in kept] == [4]
+
+
+@pytest.mark.parametrize("least_agreement", [0.0, minhash.LEAST_AGREEMENT])
+def test_recall_on_documents_against_all_pairs(spark, least_agreement):
+    """Near copies of the given documents are linked as comparing all pairs links them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) < 6000")
+    rows = sorted(map(tuple, docs.select("doc_id", "text").orderBy("doc_id").limit(160).collect()))
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(frame(spark, rows), least_agreement=least_agreement).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_odd_rows(spark):
     long = " ".join(f"v{k}" for k in range(30_000))
     rows = [(1, None), (2, ""), (3, "... !!"), (4, long), (5, long + " end"), (6, "same text here for all of us"), (6, "same text here for all of us"), (None, "same text here for all of us"), (7, "Same text, here for all of us")]
@@ -123,7 +151,7 @@ def test_pairs_left_unverified_are_few_beside_those_without_a_band():
         + [pa.array([r.tobytes() for r in x], pa.binary()) for x in (np.zeros_like(prints), prints)],
         ["a", "b", "print_a", "print_b"],
     )
-    passed = {k for batch in minhash._agreeing(iter([rows])) for k in batch.column("b").to_pylist()}
+    passed = {k for batch in minhash._agreeing(minhash.LEAST_AGREEMENT)(iter([rows])) for k in batch.column("b").to_pylist()}
     lost = sum(comb(registers, k) * p**k * (1 - p) ** (registers - k) for k in range(registers + 1) if k not in passed)
     assert lost < 0.001 * (1 - p**minhash.ROWS) ** minhash.BANDS
 

@@ -7,74 +7,116 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickloom.llm.components import connected_components
 from tickloom.llm.shingles import sequence_keys, shingle_counts, word_hashes
 from tickloom.llm.tables import mixed, text_slices, uniform, written
+from tickloom.operators.lookup import lookup_join
 
 BANDS, ROWS = 24, 5
 SIMILARITY = 0.8
 #: Pairs whose signatures agree less than this are not verified: at a similarity of 0.8 the share of
-#: equal registers of 120 is below it in about one of 58 million pairs.
+#: equal registers of 120 is below it in about one of 58 million pairs. 0 verifies all of them.
 LEAST_AGREEMENT = 0.58
-#: Documents of a bucket that are compared with the rest of it in a round: first a few of its largest
+#: A bucket of at most so many documents and bytes is searched by one task, and so are buckets of that
+#: many bytes together.
+BUCKET_NODES, BUCKET_BYTES = 4_096, 8 << 20
+#: Documents of a larger bucket that are compared with the rest of it in a round: first a few of its largest
 #: class, which take in most of the rest, and from the round ``LARGE_ROUNDS`` on those of small classes.
 LARGE_PIVOTS, LARGE_ROUNDS, PIVOTS = 3, 2, 256
 #: Bytes of shingles and pairs that a block of pairs is dealt for, and elements that are compared at once.
 BLOCK_BYTES, BLOCK_PAIRS, COMPARED = 4 << 20, 16_384, 1 << 20
+#: Bytes of a document beside its shingles: bands, fingerprint, keys.
+DOCUMENT_BYTES = 480
 ROUNDING = 1e-9
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, least_agreement: float = LEAST_AGREEMENT) -> DataFrame:
     """``(doc_id, class_id, kept)`` for every row of ``docs (doc_id, text)``; other columns are ignored.
 
     Two documents are linked when the probability Jaccard similarity of their five-word shingles,
     weighted by how often each occurs, is ``similarity`` or more. A class is a connected component of
     links, named by its smallest ``doc_id``, whose document is the one that is kept.
 
-    Documents with the same words in the same order (case and punctuation aside) are one class before
-    anything is compared. Candidates share a band of their signatures. A bucket is searched from its
-    smallest document; if that leaves it in several classes, round by round from a few documents of its
-    largest class and then those of its smaller ones, each compared with those of other classes, until
-    the rest is in one class. So no bucket is expanded to all pairs and none is capped.
+    Documents with the same words in the same order (case and punctuation aside) are one node before
+    anything is compared. Candidates share a band of their signatures, that is a bucket. Buckets are dealt
+    to blocks by their smallest node, so that those of the same near copies meet and shingles travel once
+    per block. A block compares the nodes of a bucket that no link connects yet, each pair in the first band
+    it shares, and returns links that connect what it found. A bucket too large for a block is searched
+    in rounds, from a few nodes of its largest class and then those of its smaller ones, until the rest
+    is in one class. So no bucket is capped, no pairs are shuffled but those of such buckets.
 
     At a similarity of exactly 0.8 no band finds 7.3e-5 of the pairs and too few equal registers leave
-    out 1.8e-8 (by the binomial distribution), together 7.3e-5, and less above 0.8. Such
-    a pair is lost where no other document links the two.
+    out 1.8e-8 (by the binomial distribution; none with ``least_agreement`` 0), together 7.3e-5, and less
+    above 0.8. Such a pair is lost where no other document links the two.
 
     A text that is null or has no word is alone in its class. A row whose ``doc_id`` is null gets a
-    null class and is kept. Rows that share a ``doc_id`` share a class.
+    null class and is kept. Rows with the same ``doc_id`` and text share a class; different texts under one
+    ``doc_id`` have each its own, though these may bear the same name.
     """
-    signed = written(docs.select("doc_id", "text").mapInArrow(_sign, SIGNED), "signatures")
+    return _classed(docs, similarity, least_agreement).select("doc_id", "class_id", "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row of ``docs`` for each class, with all its columns, and all rows whose ``doc_id`` is null.
+
+    It is that of the smallest ``doc_id``; of its different texts, the one with the smallest hash. Of rows
+    with the same ``doc_id`` and text one stays. Only the keys of rows that go are joined to the documents.
+    """
+    classed = written(_classed(docs, similarity, LEAST_AGREEMENT).filter("doc_id IS NOT NULL"), "classed")
+    place = F.struct("doc_id", "text_key")
+    stays = classed.filter("node IS NOT NULL").groupBy("component").agg(F.min(place).alias("stays"))
+    per_key = classed.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("component"))
+    judged = per_key.join(stays, "component", "left").select(
+        F.col("doc_id").alias("_id"),
+        F.col("text_key").alias("_key"),
+        "rows",
+        F.coalesce((F.col("stays.doc_id") == F.col("doc_id")) & (F.col("stays.text_key") == F.col("text_key")), F.lit(True)).alias("stays"),
+    )
+    marks = written(judged.filter("NOT stays OR rows > 1").select("_id", "_key", "stays"), "marks")
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": _text_key()})
+    marked = lookup_join(keyed, marks, ["_id", "_key"], "left")
+    whole = marked.filter("stays IS NULL").select(*docs.columns)
+    once = marked.filter("stays").dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    return whole.unionByName(once)
+
+
+def _classed(docs: DataFrame, similarity: float, least_agreement: float) -> DataFrame:
+    """``(doc_id, text_key, node, component, class_id, kept)`` for every row."""
+    keyed = docs.select("doc_id", "text", _text_key().alias("text_key"))
+    signed = written(keyed.mapInArrow(_sign, SIGNED), "signatures")
     worded = signed.filter("doc_id IS NOT NULL AND key_a IS NOT NULL")
-    first = written(worded.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node")), "copies")
-    nodes = worded.join(first, ["key_a", "key_b"]).filter("doc_id = node").dropDuplicates(["node"])
-    nodes = written(nodes.select("node", "bands", "fingerprint"), "nodes")
-    links = _links(docs, nodes, similarity)
-    classes = connected_components(links).withColumnRenamed("component", "class")
-    named = (
-        signed.select("doc_id", "key_a", "key_b")
-        .join(first.join(classes, "node", "left"), ["key_a", "key_b"], "left")
-        .withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "node", "doc_id")))
+    same = worded.groupBy("key_a", "key_b").agg(
+        F.min("doc_id").alias("first_doc"), F.first("bands").alias("bands"), F.first("fingerprint").alias("fingerprint")
     )
-    return named.select(
-        "doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept")
+    nodes = written(same.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    classes = connected_components(_links(docs, nodes, similarity, least_agreement))
+    linked = written(classes.join(nodes.select("node", "first_doc"), "node"), "linked")
+    names = linked.groupBy("component").agg(F.min("first_doc").alias("class"))
+    found = linked.select("node", "component").join(names, "component")
+    of_key = nodes.select("key_a", "key_b", "node", "first_doc").join(found, "node", "left")
+    rows = signed.select("doc_id", "text_key", "key_a", "key_b").join(of_key, ["key_a", "key_b"], "left")
+    class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "first_doc", "doc_id"))
+    return rows.select(
+        "doc_id",
+        "text_key",
+        "node",
+        F.coalesce("component", "node").alias("component"),
+        class_id.alias("class_id"),
+        F.coalesce(F.col("doc_id") == class_id, F.lit(True)).alias("kept"),
     )
 
 
-def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; a repeated ``doc_id`` stays once."""
-    kept = near_duplicates(docs, similarity).filter("kept AND doc_id IS NOT NULL").select("doc_id")
-    stays = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stays.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+def _text_key() -> Column:
+    return F.xxhash64("text")
 
 
 # --- signatures -------------------------------------------------------------------------
 
-SIGNED = "doc_id long, key_a long, key_b long, bands array<long>, fingerprint binary"
+SIGNED = "doc_id long, text_key long, key_a long, key_b long, bands array<long>, fingerprint binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,12 +134,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             [
                 batch.column("doc_id").cast(pa.int64()),
+                batch.column("text_key"),
                 pa.array(key_a, mask=empty),
                 pa.array(key_b, mask=empty),
                 lists.cast(pa.list_(pa.int64())),
                 pa.array([row.tobytes() for row in prints], pa.binary()),
             ],
-            ["doc_id", "key_a", "key_b", "bands", "fingerprint"],
+            ["doc_id", "text_key", "key_a", "key_b", "bands", "fingerprint"],
         )
 
 
@@ -133,56 +176,109 @@ def prob_min_hash(
 # --- candidates -------------------------------------------------------------------------
 
 
-def _links(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, similarity: float, least_agreement: float) -> DataFrame:
     """Verified links ``(a, b)`` that connect whatever any pair of a bucket connects."""
     banded = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    shared = banded.groupBy("band", "hash").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n"))
-    buckets = written(banded.join(shared.filter("n > 1").drop("n"), ["band", "hash"]), "buckets")
-    pairs = buckets.filter("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    members = buckets.filter("node > pivot").select("band", "hash", "node")
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    banded = banded.select("node", "band", F.xxhash64("band", "hash").alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1")
+    members = written(lookup_join(banded, written(shared, "shared"), ["bucket"]), "members")
+    sets = _sets(docs, nodes, members)
+    bytes_of = sets.select("node", (F.length("elements") + F.length("counts") + DOCUMENT_BYTES).alias("bytes"))
+    weighed = lookup_join(members, written(bytes_of, "bytes"), ["node"]).groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    members = written(members.join(weighed, "bucket"), "weighed")
+    fits = (F.col("n") <= BUCKET_NODES) & (F.col("bytes") <= BUCKET_BYTES)
+    total = members.filter(fits).agg(F.sum(F.col("bytes") / F.col("n"))).first()[0] or 0
+    block = F.pmod(F.xxhash64("least"), F.lit(max(1, int(total / BUCKET_BYTES))))
+    dealt = members.filter(fits).select(block.alias("block"), "bucket", "band", F.col("node").alias("member"))
+    sent = dealt.select("block", "member").distinct().toDF("to_block", "node").join(sets, "node").groupBy("to_block")
+    within = dealt.groupBy("block").cogroup(sent).applyInArrow(_within(similarity, least_agreement), "a long, b long")
+    links = written(within, "links")
+    large = members.filter(~fits).select("bucket", "node")
+    return links if large.isEmpty() else _large_links(large, sets, links, similarity, least_agreement)
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """Shingles, bands and fingerprint of the nodes that share a bucket, from the text of their first document."""
+    wanted = written(lookup_join(nodes, written(members.select("node").distinct(), "sharing"), ["node"]), "wanted")
+    ids = written(wanted.select(F.col("first_doc").alias("doc_id")).distinct(), "sharing-ids")
+    texts = lookup_join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, ["doc_id"])
+    keys = ["first_doc", "key_a", "key_b"]
+    shingled = texts.mapInArrow(_shingle, "first_doc long, key_a long, key_b long, elements binary, counts binary")
+    return written(wanted.join(shingled.dropDuplicates(keys), keys).drop(*keys), "shingles")
+
+
+def _within(similarity: float, least_agreement: float):
+    """Links between the nodes of each bucket of a block that connect what is similar enough."""
+
+    def within(dealt: pa.Table, sent: pa.Table) -> pa.Table:
+        node = sent.column("node").to_numpy()
+        prints = np.frombuffer(b"".join(sent.column("fingerprint").to_pylist()), np.uint16).reshape(len(node), -1)
+        bands = sent.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        sets = _Sets(sent.column("elements").to_pylist(), sent.column("counts").to_pylist())
+        order = np.argsort(node)
+        at = order[np.searchsorted(node, dealt.column("member").to_numpy(), sorter=order)]
+        bucket, band = dealt.column("bucket").to_numpy(), dealt.column("band").to_numpy()
+        by_bucket = np.lexsort((node[at], bucket))
+        cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
+        label, links = np.arange(len(node)), []
+        for rows in np.split(by_bucket, cuts) if len(bucket) else []:
+            own, earlier = at[rows], band[rows[0]]
+            for k in range(len(own) - 1):
+                one, others = own[k], own[k + 1 :]
+                others = others[label[others] != label[one]]
+                if not len(others):
+                    continue
+                likely = (prints[others] == prints[one]).mean(axis=1) >= least_agreement
+                others = others[likely & ~(bands[others, :earlier] == bands[one, :earlier]).any(axis=1)]
+                if not len(others):
+                    continue
+                linked = others[sets.similarities(one, others) >= similarity - ROUNDING]
+                _, first = np.unique(label[linked], return_index=True)
+                links += [(node[one], node[other]) for other in linked[first]]
+                label[np.isin(label, label[linked])] = label[one]
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return within
+
+
+def _large_links(
+    members: DataFrame, sets: DataFrame, links: DataFrame, similarity: float, least_agreement: float
+) -> DataFrame:
+    """``links`` and those that large buckets add, round by round."""
     for turn in count():
-        found = _verified(docs, nodes, pairs, similarity)
-        classes = written(connected_components(links.unionByName(found)), "classes")
+        classes = written(connected_components(links), "classes")
         links = classes.select(F.col("component").alias("a"), F.col("node").alias("b"))
         classed = members.join(classes, "node", "left").select(
-            "band", "hash", "node", F.coalesce("component", "node").alias("class")
+            "bucket", "node", F.coalesce("component", "node").alias("class")
         )
-        sizes = classed.groupBy("band", "hash", "class").agg(F.count(F.lit(1)).alias("size"))
-        split = sizes.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        parted = written(sizes.join(split, ["band", "hash"]), "parted")
+        sizes = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("size"))
+        split = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        parted = written(sizes.join(split, "bucket"), "parted")
         if parted.isEmpty():
             return links
         order, pivots_each = ("size", PIVOTS) if turn >= LARGE_ROUNDS else (F.desc("size"), LARGE_PIVOTS)
-        in_order = Window.partitionBy("band", "hash").orderBy(order, "class", "node")
-        ranked = classed.join(parted, ["band", "hash", "class"])
+        in_order = Window.partitionBy("bucket").orderBy(order, "class", "node")
+        ranked = classed.join(parted, ["bucket", "class"])
         ranked = written(ranked.withColumn("k", F.row_number().over(in_order)), "ranked")
         pivots = ranked.filter(F.col("k") <= pivots_each)
-        pivots = pivots.select("band", "hash", F.col("node").alias("pivot"), F.col("class").alias("of"), F.col("k").alias("j"))
+        pivots = pivots.select("bucket", F.col("node").alias("pivot"), F.col("class").alias("of"), F.col("k").alias("j"))
         # two pivots meet once
-        met = ranked.join(pivots, ["band", "hash"]).filter("class <> of AND (k > j)")
+        met = ranked.join(pivots, "bucket").filter("class <> of AND (k > j)")
         pairs = met.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
-        members = ranked.filter(F.col("k") > pivots_each).select("band", "hash", "node")
+        members = ranked.filter(F.col("k") > pivots_each).select("bucket", "node")
+        links = links.unionByName(_verified(sets, pairs, similarity, least_agreement))
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+def _verified(sets: DataFrame, pairs: DataFrame, similarity: float, least_agreement: float) -> DataFrame:
     """The pairs that are similar enough, by their own shingles."""
-    prints = nodes.select("node", "fingerprint")
+    prints = sets.select("node", "fingerprint")
     likely = (
         pairs.join(prints.toDF("a", "print_a"), "a")
         .join(prints.toDF("b", "print_b"), "b")
-        .mapInArrow(_agreeing, "a long, b long")
-    )
-    likely = written(likely, "likely")
-    ends = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
-    shingled = (
-        docs.select("doc_id", "text")
-        .join(ends, "doc_id", "left_semi")
-        .mapInArrow(_shingle, "node long, key_a long, key_b long, elements binary, counts binary")
-        .dropDuplicates(["node"])
-        .select("node", "elements", "counts")
+        .mapInArrow(_agreeing(least_agreement), "a long, b long")
     )
-    return _compared(likely, written(shingled, "shingles"), similarity)
+    return _compared(written(likely, "likely"), sets.select("node", "elements", "counts"), similarity)
 
 
 def _compared(likely: DataFrame, shingled: DataFrame, similarity: float) -> DataFrame:
@@ -203,15 +299,18 @@ def _compared(likely: DataFrame, shingled: DataFrame, similarity: float) -> Data
     return dealt.groupBy("block", "part").cogroup(sent).applyInArrow(_similar(similarity), "a long, b long")
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
-                for name in ("print_a", "print_b")
-            )
-            chosen = batch.filter(pa.array((a == b).mean(axis=1) >= LEAST_AGREEMENT))
-            yield chosen.select(["a", "b"])
+def _agreeing(least_agreement: float):
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (
+                    np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+                    for name in ("print_a", "print_b")
+                )
+                chosen = batch.filter(pa.array((a == b).mean(axis=1) >= least_agreement))
+                yield chosen.select(["a", "b"])
+
+    return agreeing
 
 
 def _shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +332,7 @@ def _shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([elements[i:j].tobytes() for i, j in spans], pa.binary()),
                 pa.array([b"" if (counts[i:j] == 1).all() else counts[i:j].tobytes() for i, j in spans], pa.binary()),
             ],
-            ["node", "key_a", "key_b", "elements", "counts"],
+            ["first_doc", "key_a", "key_b", "elements", "counts"],
         )
 
 
