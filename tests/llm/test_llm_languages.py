@@ -38,14 +38,15 @@ def test_held_out_accuracy(spark, model):
 
 
 def test_odd_rows(spark, model):
-    rows = [(1, None), (2, ""), (3, "1234 $$ --"), (None, "the and of"), (5, "привет мир"), (6, "the " * 40_000), (6, "the " * 40_000), (7, "x" * 200_000)]
+    rows = [(1, None), (2, ""), (3, "1234 $$ --"), (None, "the and of"), (5, "привет мир"), (6, "the " * 40_000), (6, "the " * 40_000), (7, "x" * 200_000), (8, "\u0301\u0302 \u0e31"), (9, "e\u0301t\u0302 the of")]
     docs = spark.createDataFrame([(i, t, None, "clash", 1) for i, t in rows], DOCS)
     found = {(r.doc_id, r.lang_pred, round(r.score, 3)) for r in languages.predict_languages(docs, model).collect()}
-    assert {(1, "und", 0.0), (2, "und", 0.0), (3, "und", 0.0), (None, "en", 1.0), (6, "en", 1.0)} <= found
+    assert {(1, "und", 0.0), (2, "und", 0.0), (3, "und", 0.0), (None, "en", 1.0), (6, "en", 1.0), (8, "und", 0.0)} <= found  # marks alone are no letters
+    assert [f[1] for f in found if f[0] == 9] != ["und"]
     assert [f for f in found if f[0] == 5][0][2] == 0.0
     assert languages.predict_languages(docs, model).count() == len(rows)
     kept = languages.keep_languages(docs, model, 0.3)
-    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 6, 6, 7]
+    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 6, 6, 7, 9]
 
 
 def test_empty_tables(spark, model):

@@ -49,3 +49,32 @@ def test_without_labels(spark, fitted):
     assert toxicity.fit_toxicity(docs, labels.filter("toxic = 1")) is None
     assert toxicity.predict_toxicity(docs, None).filter("severity > 0").count() == 0
     assert toxicity.predict_toxicity(docs.limit(0), None).count() == 0
+
+
+def plain_severity(text, model, hashes):
+    """A document by itself, word by word; ``hashes`` gives the features of a word."""
+    words = {"".join(c for c in piece if c.isalnum()) for piece in (text or "").lower().split()}
+    present = {h for word in words if word for h in hashes(word)}
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    score = sum(weight[h] for h in present if h in weight)
+    at_most = [1 / (1 + np.exp(score - t)) for t in model.thresholds]
+    chances = np.diff([0.0, *at_most, 1.0])
+    return sum(1 - p for p in at_most), 1 - at_most[0], int(chances.argmax())
+
+
+def test_predictions_equal_those_of_each_document_alone(spark, fitted):
+    model, docs, _ = fitted
+    known = {}
+
+    def hashes(word):
+        if word not in known:
+            known[word] = toxicity._word_features([word])[0].tolist()
+        return known[word]
+
+    some = docs.filter("doc_id % 4 = 0 AND length(text) < 8000")
+    got = {r.doc_id: (r.severity, r.p_toxic, r.grade) for r in toxicity.predict_toxicity(some, model).collect()}
+    rows = some.select("doc_id", "text").collect()
+    assert len(got) == len(rows) > 150
+    for doc_id, text in rows:
+        severity, p_toxic, grade = plain_severity(text, model, hashes)
+        assert np.isclose(got[doc_id][0], severity) and np.isclose(got[doc_id][1], p_toxic) and got[doc_id][2] == grade

@@ -119,26 +119,29 @@ def _predicted(docs: DataFrame, model: LanguageModel | None, with_spans: bool) -
 
 
 @cache
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each code point: whether it is a letter (marks count), its lower case, its script."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each code point: whether it is part of a word (a letter or a mark), its lower case, its script,
+    and whether it is a mark."""
     n = 0x110000
     is_letter, lower, script = np.zeros(n, bool), np.arange(n, dtype=np.uint32), np.zeros(n, np.uint8)
+    is_mark = np.zeros(n, bool)
     for first, name in SCRIPT_RANGES:
         script[first:] = SCRIPTS.index(name)
     for c in [*range(0xD800), *range(0xE000, 0x32400)]:
         char = chr(c)
         if unicodedata.category(char)[0] in "LM":
             is_letter[c] = True
+            is_mark[c] = unicodedata.category(char)[0] == "M"
             if len(low := char.lower()) == 1:
                 lower[c] = ord(low)
-    return is_letter, lower, script
+    return is_letter, lower, script, is_mark
 
 
 class _Words:
     """Words of a slice of texts: runs of letters of one script, as code points."""
 
     def __init__(self, texts: list[str]):
-        is_letter, lower, script = _tables()
+        is_letter, lower, script, is_mark = _tables()
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
         self.text_start = np.cumsum(sizes + 1) - sizes - 1
@@ -148,6 +151,7 @@ class _Words:
         self.start = np.flatnonzero((kind != before) & letter)
         self.size = np.diff(np.append(np.cumsum(letter)[self.start] - 1, letter.sum()))
         self.letters = lower[points[letter]]
+        self.n_marks = np.diff(np.append(0, np.cumsum(is_mark[points[letter]]))[np.append(0, np.cumsum(self.size))])
         self.script = script[points[self.start]]
         self.text = np.searchsorted(self.text_start, self.start, side="right") - 1
 
@@ -197,10 +201,11 @@ def _judged(batch: pa.RecordBatch, model: LanguageModel | None, with_spans: bool
     at = words.text[best >= 0] * size + best[best >= 0]
     weight = np.bincount(at, words.size[best >= 0], minlength=n * size).reshape(n, size)
     letters = np.bincount(words.text, words.size, minlength=n)
+    has_letter = np.bincount(words.text, words.size - words.n_marks, minlength=n) > 0
     # letters of unlearned scripts alone leave all shares at 0: the first language, which is no evidence
-    lang = [model.languages[k] if has else UNKNOWN for k, has in zip(weight.argmax(axis=1), letters)]
+    lang = [model.languages[k] if has else UNKNOWN for k, has in zip(weight.argmax(axis=1), has_letter)]
     spans = _spans(words, best, model, n) if with_spans else [[]] * n
-    return lang, weight.max(axis=1) / np.maximum(1, letters), spans
+    return lang, np.where(has_letter, weight.max(axis=1) / np.maximum(1, letters), 0.0), spans
 
 
 def _predict(shared, with_spans: bool):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.session import work_folder
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,7 +33,11 @@ def written(rows: DataFrame, label: str) -> DataFrame:
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of a slice hold ``limit`` bytes, or one text that is longer."""
+    """Cut batches so that the texts of a slice hold ``limit`` bytes, or one text that is longer.
+
+    What earlier tasks of a reused worker have left in its allocators is given back first.
+    """
+    release_memory()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -43,6 +48,13 @@ def text_slices(
             yield batch.slice(start, end - start)
 
 
+def release_memory() -> None:
+    """Give freed memory that the allocators keep back to the system, where they know how."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a slice; null counts as empty."""
     return pc.fill_null(batch.column(column), "").to_pylist()

@@ -26,6 +26,8 @@ LEAST_LOG_ODDS, LEAST_G = 1.5, 18.0
 GRADE_STEPS = (2, 5)
 REJECT_SEVERITY = 0.5
 STEPS, RATE, RIDGE = 400, 0.1, 1e-4
+#: Bytes of sampled texts whose features are spread over their texts at once, some hundred times as many.
+SAMPLE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -213,7 +215,7 @@ def _spread(owner: np.ndarray, values: np.ndarray, at: np.ndarray, n: int) -> tu
 
 
 def _features_by_mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=SAMPLE_BYTES):
         words, text, at = _words(batch)
         hashes, owner = _word_features(words)
         order = np.argsort(owner, kind="stable")
