@@ -134,7 +134,7 @@ def test_replay_of_a_plain_table_that_fails(spark, folder, monkeypatch):
     bronze = tables.write_table(ticks(spark, ROWS), f"{folder}/bronze", ["ingest_date"])
     open_bands = PriceBands({})
     plain = tables.write_table(clean_ticks(bronze, open_bands), f"{folder}/silver", ["ingest_date", "symbol"])
-    broken = lambda rows, bands, once: rows.withColumn("price", F.raise_error(F.lit("no")).cast("double"))
+    broken = lambda rows, *_: rows.withColumn("price", F.raise_error(F.lit("no")).cast("double"))
     with monkeypatch.context() as patched:
         patched.setattr(maintenance, "_clean", broken)
         with pytest.raises(Exception, match="no"):
