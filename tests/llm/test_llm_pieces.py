@@ -29,6 +29,27 @@ def test_units_are_forgotten_by_generations(monkeypatch):
     assert len(engine.known) <= 3 and len(engine.older) <= 3 and "▁one" in {**engine.known, **engine.older}
 
 
+def test_units_are_composed_together(monkeypatch):
+    engine = pieces.PieceTransducer(PATH)
+    by_itself = []
+    monkeypatch.setattr(engine, "shortest_path", lambda unit, path=engine.shortest_path: by_itself.append(unit) or path(unit))
+    monkeypatch.setattr(pieces, "TOGETHER", 3)
+    texts = [*ODD, "one two, three. four \u0007\u0e01x, b.,", "né\U0001f600 a,", "two, 漢, three"]
+    for _ in range(2):
+        ids, sizes, _, _ = engine.encode_all(pa.array(texts))
+        assert [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])] == [MODEL.encode(text) for text in texts]
+    assert by_itself and all(len(unit) > pieces.LONGEST_TOGETHER for unit in by_itself)
+
+
+def test_stems_met_again_are_remembered(monkeypatch):
+    monkeypatch.setattr(pieces, "MOST_UNITS", 8)
+    engine = pieces.PieceTransducer(PATH)
+    for number in range(20):
+        text = f"often, seen and x{number} y{number} z{number}."
+        assert engine.encode_all(pa.array([text]))[0].tolist() == MODEL.encode(text)
+        assert len(engine.stems) <= 8 and (number < 2 or "often" in engine.stems.to_pylist())
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab.,É  \n\t漢▁") | st.characters(codec="utf-8"), max_size=40), max_size=5))
 def test_many_texts_at_once(texts):

@@ -20,6 +20,9 @@ NONE, FALLBACK = -1, -2
 MOST_UNITS = 1 << 18
 MARKS = ",."
 MOST_PAIRS = 1 << 20
+#: So many units are composed together; longer ones are composed by themselves.
+TOGETHER, LONGEST_TOGETHER = 1 << 13, 64
+UNREACHED = -3
 
 
 class PieceTransducer:
@@ -63,6 +66,9 @@ class PieceTransducer:
         self.is_byte = np.zeros(len(self.bytes_of), bool)
         self.is_byte[self.byte_ids] = True
         self.apart: dict[tuple[int, int], bool] = {}
+        self._number_arcs()
+        self.stems, self.again = pa.array([], pa.large_string()), np.zeros(0, bool)
+        self.stem_ids, self.stem_sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
         self.marks = {
@@ -71,6 +77,24 @@ class PieceTransducer:
             if mark in self.ids and not any(mark in piece and any(c.isalpha() for c in piece) for piece in self.ids)
         }
 
+    def _number_arcs(self) -> None:
+        """The prefix tree in arrays: characters, nodes and the arcs between them have numbers.
+
+        Node 0 is the root. ``arc_keys`` are node times characters plus character, ascending, and
+        ``arc_ends`` the nodes that these arcs reach. ``pair_keys`` and ``pair_free`` repeat ``apart`` at
+        a place that the pair determines; a pair that finds another there is looked up.
+        """
+        characters = sorted({c for prefix in self.arcs for c in prefix[-1:]})
+        self.character = np.zeros(0x110000, np.int32)
+        self.character[[ord(c) for c in characters]] = np.arange(1, len(characters) + 1)
+        self.n_characters = len(characters) + 1
+        node = {"": 0} | {prefix: k for k, prefix in enumerate(self.arcs, 1)}
+        keys = np.array([node[p[:-1]] * self.n_characters + int(self.character[ord(p[-1])]) for p in self.arcs], np.int64)
+        order = np.argsort(keys)
+        self.arc_keys, self.arc_ends = keys[order], order + 1
+        self.node_piece = np.array([NONE, *self.arcs.values()], np.int64)
+        self.pair_keys, self.pair_free = np.full(MOST_PAIRS, -1, np.int64), np.zeros(MOST_PAIRS, bool)
+
     # the normaliser: a space in front, spaces as visible marks, everything else as it is
     def units(self, text: str) -> list[str]:
         if not text:
@@ -118,9 +142,7 @@ class PieceTransducer:
             whole = texts.cast(pa.large_string()).dictionary_encode()
             code = whole.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             units = Units(whole.dictionary, np.zeros(len(whole.dictionary), bool), code, np.ones(len(code), np.int64))
-        found = [self._of_unit(SPACE + word.replace(" ", SPACE)) for word in units.distinct.to_pylist()]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
+        ids, sizes = self._of_words(units.distinct)
         owner = np.repeat(np.arange(len(filled)), units.counts)
         code, used = units.code[filled[owner]], owner[filled[owner]]
 
@@ -132,6 +154,45 @@ class PieceTransducer:
         wrong = summed(~self._gives_back(units.distinct, ids, sizes))
         return gathered(ids, sizes, code), summed(sizes), n_bytes, wrong == 0
 
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, a space being in front, one after another, and how many each has.
+
+        A mark after a letter is a unit of its own here too.
+        """
+        marked = pc.match_substring_regex(words, f"[A-Za-z][{''.join(self.marks)}]$" if self.marks else "$^.")
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        ids, sizes = self._of_stems(stems.dictionary)
+        code = stems.indices.to_numpy(zero_copy_only=False)
+        last = pc.utf8_slice_codeunits(words.filter(marked), -1).dictionary_encode()
+        mark_ids = np.array([self.marks[mark][0] for mark in last.dictionary.to_pylist()], np.int64)[last.indices.to_numpy(zero_copy_only=False)]
+        marked = marked.to_numpy(zero_copy_only=False)
+        return np.insert(gathered(ids, sizes, code), np.cumsum(sizes[code])[marked], mark_ids), sizes[code] + marked
+
+    def _of_stems(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_of_words` for distinct ones; those that are not remembered are composed together."""
+        known = len(self.stems)
+        place = pc.index_in(stems, value_set=self.stems)
+        is_new = pc.is_null(place)
+        new = stems.filter(is_new)
+        ids, sizes = self.shortest_paths([SPACE + stem.replace(" ", SPACE) for stem in new.to_pylist()])
+        is_new = is_new.to_numpy(zero_copy_only=False)
+        place = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[is_new] = known + np.arange(len(new))
+        self.stems = pa.concat_arrays([self.stems, new])
+        self.stem_ids, self.stem_sizes = np.concatenate([self.stem_ids, ids]), np.concatenate([self.stem_sizes, sizes])
+        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        self.again[place[~is_new]] = True
+        found = gathered(self.stem_ids, self.stem_sizes, place), self.stem_sizes[place]
+        if len(self.stems) > MOST_UNITS:
+            self._forget()
+        return found
+
+    def _forget(self) -> None:
+        """Keep the stems that were met again since this was last done, or none if they are too many."""
+        kept = np.flatnonzero(self.again)[: MOST_UNITS if self.again.sum() <= MOST_UNITS // 2 else 0]
+        self.stem_ids, self.stem_sizes = gathered(self.stem_ids, self.stem_sizes, kept), self.stem_sizes[kept]
+        self.stems, self.again = self.stems.take(pa.array(kept)), np.zeros(len(kept), bool)
+
     def _gives_back(self, units: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Which units, with a space in front, are what the bytes of their ids join to."""
         data = self.arrow_bytes.take(pa.array(ids))
@@ -174,6 +235,100 @@ class PieceTransducer:
             end = start
         return path[::-1]
 
+    def shortest_paths(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`shortest_path` for every unit, one after another, and how many ids each has.
+
+        Many are composed together, position by position; long ones go by themselves.
+        """
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        short = size <= LONGEST_TOGETHER
+        parts, counts = [np.zeros(0, np.int64)], np.zeros(len(units), np.int64)
+        for rows in np.split(np.flatnonzero(short), np.arange(TOGETHER, short.sum(), TOGETHER)):
+            text = "".join([units[row] for row in rows.tolist()]).encode("utf-32-le", "surrogatepass")
+            ids, counts[rows] = self._composed(np.frombuffer(text, np.uint32), size[rows])
+            parts.append(ids)
+        alone = [self.shortest_path(units[row]) for row in np.flatnonzero(~short).tolist()]
+        counts[~short] = [len(path) for path in alone]
+        by_itself, ids = np.repeat(~short, counts), np.zeros(counts.sum(), np.int64)
+        ids[~by_itself] = np.concatenate(parts)
+        ids[by_itself] = list(chain.from_iterable(alone))
+        return ids, counts
+
+    def _composed(self, text: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units, given as code points one after another, and how many each has."""
+        # a unit of n characters has the places 0 to n, all units' places are numbered through
+        letters, unit = self.character[text], np.repeat(np.arange(len(size)), size)
+        first = np.cumsum(size + 1) - size - 1
+        place, last = np.arange(len(letters)) + unit, (first + size)[unit]
+        odd = np.flatnonzero(letters == 0)
+        starts, ends, pieces = [place[odd]], [place[odd] + 1], [np.full(len(odd), FALLBACK)]
+        at, node, length = np.arange(len(letters)), np.zeros(len(letters), np.int64), 0
+        while len(at):
+            key = node * self.n_characters + letters[at + length]
+            slot = np.minimum(np.searchsorted(self.arc_keys, key), len(self.arc_keys) - 1)
+            arc = self.arc_keys[slot] == key
+            at, node, length = at[arc], self.arc_ends[slot[arc]], length + 1
+            piece = self.node_piece[node]
+            whole = piece >= 0
+            starts.append(place[at[whole]])
+            ends.append(starts[-1] + length)
+            pieces.append(piece[whole])
+            more = place[at] + length < last[at]
+            at, node = at[more], node[more]
+        start, end, piece = map(np.concatenate, (starts, ends, pieces))
+        state, back = np.full(len(letters) + len(size), UNREACHED, np.int64), np.zeros(len(letters) + len(size), np.int64)
+        state[first] = NONE
+        step = (start - np.repeat(first, size + 1)[start]).astype(np.uint8)
+        order = np.argsort(step, kind="stable")
+        for arcs in np.split(order, np.cumsum(np.bincount(step))[:-1]):
+            arcs = arcs[(state[start[arcs]] != UNREACHED) & (state[end[arcs]] == UNREACHED)]
+            free = piece[arcs] == FALLBACK
+            asked = arcs[~free]
+            free[~free] = self._all_apart(state[start[asked]], piece[asked])
+            arcs = arcs[free]
+            state[end[arcs]], back[end[arcs]] = piece[arcs], start[arcs]
+        # from the ends back, an id of each unit at a time
+        owner, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        left = np.flatnonzero(size)
+        here = (first + size)[left]
+        while len(left):
+            owner.append(left)
+            # a character that is no piece stands for its bytes, beyond the ids
+            found.append(np.where(state[here] == FALLBACK, len(self.bytes_of) + text[here - 1 - left], state[here]))
+            here = back[here]
+            more = here != first[left]
+            left, here = left[more], here[more]
+        owners = np.concatenate(owner)[::-1]
+        order = np.argsort(owners, kind="stable")
+        owners, ids = owners[order], np.concatenate(found)[::-1][order]
+        if len(odd):
+            is_odd = ids >= len(self.bytes_of)
+            character, code = np.unique(ids[is_odd] - len(self.bytes_of), return_inverse=True)
+            written = [chr(c).encode("utf-8", "surrogatepass") for c in character.tolist()]
+            n_bytes = np.array([len(data) for data in written])
+            many = np.ones(len(ids), np.int64)
+            many[is_odd] = n_bytes[code]
+            ids, owners, is_odd = np.repeat(ids, many), np.repeat(owners, many), np.repeat(is_odd, many)
+            ids[is_odd] = gathered(np.array(self.byte_ids)[list(b"".join(written))], n_bytes, code)
+        return ids, np.bincount(owners, minlength=len(size))
+
+    def _all_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``_stay_apart`` of many pairs."""
+        key = (left - FALLBACK) * len(self.bytes_of) + right
+        place = key * 0x9E3779B1 % MOST_PAIRS
+        missing = np.flatnonzero(self.pair_keys[place] != key)
+        if not len(missing):
+            return self.pair_free[place]
+        free = self.pair_free[place]
+        _, one, same = np.unique(key[missing], return_index=True, return_inverse=True)
+        one = missing[one]
+        pairs = zip(left[one].tolist(), right[one].tolist())
+        found = np.array([self._stay_apart(*pair) if (known := self.apart.get(pair)) is None else known for pair in pairs])
+        free[missing] = found[same]
+        self.pair_keys[place[one]] = key[one]
+        self.pair_free[place[one]] = found
+        return free
+
     def _stay_apart(self, left: int, right: int) -> bool:
         """Whether merging the two texts together gives just these two pieces."""
         if len(self.apart) >= MOST_PAIRS:
