@@ -61,3 +61,28 @@ def test_stream_of_several_members_and_a_cut_one():
 
 def test_empty(spark):
     assert warc.through_archives(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_no_payload_is_shuffled(spark, folder):
+    pages = spark.range(4_000).selectExpr("id AS page_id", "'u' AS url", "repeat(sha2(string(id div 2), 512), 20) AS html")
+    found = warc.with_revisits(pages)
+    warc.write_monolithic(found, f"{folder}/whole")
+    warc.normalise(spark, f"{folder}/whole", f"{folder}/members")
+    back = warc.read_archives(spark, f"{folder}/members")
+    assert "Exchange" not in back._jdf.queryExecution().executedPlan().toString()
+    assert back.count() == 4_000
+    # every task that has records writes an archive of them
+    assert len(list(Path(folder, "whole").glob("*.gz"))) == found.rdd.getNumPartitions()
+
+
+def test_an_archive_and_its_sidecar_belong_together(spark, folder):
+    pages = spark.createDataFrame([(*row, "clash") for row in ROWS], PAGES)
+    warc.write_monolithic(warc.with_revisits(pages).coalesce(1), f"{folder}/whole")
+    warc.normalise(spark, f"{folder}/whole", f"{folder}/members")
+    (one,) = Path(folder, "members").glob("*.idx")
+    for name in (one.name, one.name.replace(".idx", ".warc.gz")):
+        lone = Path(folder, f"lone-{name}")
+        lone.mkdir()
+        (lone / name).write_bytes(Path(folder, "members", name).read_bytes())
+        with pytest.raises(Exception, match="No such file|Failed to open"):
+            warc.read_archives(spark, str(lone)).collect()

@@ -100,14 +100,15 @@ def warc_records(pages: DataFrame) -> DataFrame:
 
 
 def write_monolithic(pages: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
-    """Write records as archives that are one gzip stream each, as many as the payload bytes call for.
+    """Write records as archives that are one gzip stream each, of as many as have ``FILE_BYTES`` on average.
 
-    The text writer ends each record with the line feed that it lacks and compresses a file as a whole.
+    Records are written where they are read: every task has its own archives, and no payload is shuffled
+    for them. The text writer ends each record with the line feed that it lacks and compresses a file as a
+    whole.
     """
-    total = pages.agg(F.sum(F.col("payload_bytes") + 600)).first()[0] or 0
-    spread = pages.repartition(max(1, -(-total // FILE_BYTES)))
-    writer = warc_records(spread).write.option("compression", "gzip").option("lineSep", "\n")
-    writer.option("maxRecordsPerFile", file_records).text(path)
+    average = pages.agg(F.avg(F.col("payload_bytes") + 600)).first()[0] or 1
+    writer = warc_records(pages).write.option("compression", "gzip").option("lineSep", "\n")
+    writer.option("maxRecordsPerFile", max(1, min(file_records, int(FILE_BYTES / average)))).text(path)
 
 
 # --- normalising ------------------------------------------------------------------------
@@ -162,11 +163,11 @@ def normalise(spark: SparkSession, archives: str, path: str) -> DataFrame:
     each member, tab-separated. Both are written under another name and moved when whole, so a task
     that runs again replaces them. The index comes back as ``(file, record_id, offset, length)``.
     """
-    local, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    local, root = _store(path)
     local.create_dir(root, recursive=True)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, folder = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        store, folder = _store(path)
         for batch in batches:
             for source, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 name = re.sub(r"[^A-Za-z0-9-]", "_", source.rsplit("/", 1)[-1])
@@ -195,6 +196,10 @@ def normalise(spark: SparkSession, archives: str, path: str) -> DataFrame:
     return written(index, "warc-index")
 
 
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 # --- reading ----------------------------------------------------------------------------
 
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -203,26 +208,27 @@ READ = "page_id long, payload_bytes long, payload_digest string, record_type str
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the normalised archives in ``path``, each inflated by itself at its indexed place.
 
-    An archive and its sidecar are read together. A response whose payload does not have the length and
-    digest its header states is an error.
+    The task that has an archive opens the sidecar beside it. Either without the other is an error, and so
+    is a response whose payload does not have the length and digest its header states.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{warc.gz,idx}").load(path)
-    name = F.regexp_replace("path", r"\.(warc\.gz|idx)$", "")
-    is_index = F.col("path").endswith(".idx")
-    both = files.groupBy(name.alias("name")).agg(
-        F.max(F.when(is_index, F.col("content"))).alias("index"), F.max(F.when(~is_index, F.col("content"))).alias("content")
-    )
-    return both.select("index", "content").mapInArrow(_read_members, READ)
+    schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = _store(path)
+        for batch in batches:
+            for source, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                name = re.sub(r"\.(warc\.gz|idx)$", "", source.rsplit("/", 1)[-1])
+                if source.endswith(".idx"):
+                    store.open_input_file(f"{folder}/{name}.warc.gz").close()
+                    continue
+                with store.open_input_stream(f"{folder}/{name}.idx", compression=None) as beside:
+                    places = [line.split("\t") for line in beside.read().decode().splitlines()]
+                view = memoryview(content.as_buffer())
+                rows = [_parsed(zlib.decompress(view[int(o) : int(o) + int(n)], wbits=31)) for _, o, n in places]
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
 
-def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for index, content in zip(batch.column("index").to_pylist(), batch.column("content")):
-            view = memoryview(content.as_buffer())
-            places = [line.split("\t") for line in index.decode().splitlines()]
-            rows = [_parsed(zlib.decompress(view[int(o) : int(o) + int(n)], wbits=31)) for _, o, n in places]
-            schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{warc.gz,idx}").load(path)
+    return files.select("path", "content").mapInArrow(members, READ)
 
 
 def _parsed(record: bytes) -> tuple:
