@@ -97,6 +97,23 @@ def batch(rows):
     return pa.record_batch([pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)], ["k", "t", "price", "volume"])
 
 
+def test_slots_share_a_row_of_state_and_settle_one_by_one(spark, folder):
+    n = 4 * settle.SLOTS_PER_KEY
+    updated = 0
+    first = [("A", 5.0, 1.0, at(10 * k)) for k in range(n)]
+    # event time is 120 s past the end of slot 3, but not past that of slot 4
+    later = [("A", 4.0, 1.0, at(30)), ("A", 4.0, 1.0, at(40)), ("Z", 1.0, 1.0, at(160))]
+    for batch in (first[:5] + later[2:], later[:2], first[5:], [("Z", 2.0, 1.0, at(9000))]):
+        arrive(spark, batch, f"{folder}/inbox")
+        rows = settle.settle_repeats_stream(medallion.bronze_rows(stream(spark, f"{folder}/inbox")), salts=1, memory=3600)
+        query = runtime.start_table(rows, "settle", f"{folder}/out", f"{folder}/check")
+        runtime.run_to_end(query)
+        updated += sum(p.stateOperators[0].numRowsUpdated for p in query.recentProgress)
+    got = raw(spark.read.parquet(f"{folder}/out").filter("symbol = 'A'"))
+    assert got == sorted([first[k] for k in range(n) if k != 4] + [later[1]], key=str)
+    assert updated < n
+
+
 def test_memory_must_outlast_the_hold(spark, folder):
     arrive(spark, [("A", 1.0, 1.0, at(0))], f"{folder}/inbox")
     with pytest.raises(ValueError):

@@ -19,6 +19,8 @@ from tickloom.operators.windows import LATENESS_SECONDS
 MEMORY_SECONDS = 86_400
 #: Ticks of a symbol and as many seconds are settled together, dealt over so many tasks.
 SLOT_SECONDS, SALTS = 10, 8
+#: So many slots of a symbol share a row of state, as a key costs more than its ticks do.
+SLOTS_PER_KEY = 24
 
 SETTLED = "symbol string, price double, volume double, timestamp long, event_time timestamp, no_price boolean, no_volume boolean"
 RAW_COLUMNS = ("symbol", "price", "volume", "timestamp")
@@ -41,23 +43,23 @@ def settle_repeats_stream(
     within ``hold`` and nothing comes later than ``memory``. A tick with a NULL in its key repeats nothing
     and passes, one with no event time too.
 
-    State is keyed by symbol, slot and a salt from the timestamp, so that a symbol with a third of all
-    ticks is spread and copies still meet; each key has one row of state and one timer at a time. Copies
-    inside an Arrow batch are merged before the shuffle.
+    State is keyed by symbol, a block of ``SLOTS_PER_KEY`` slots and a salt from the timestamp, so that a
+    symbol with a third of all ticks is spread and copies still meet; each key has one row of state and a
+    timer for the slot that is due next. Copies inside an Arrow batch are merged before the shuffle.
     """
     if memory < hold + slot:
         raise ValueError("ticks must be remembered for longer than they are held")
     keyed = has_whole_key() & F.col("event_time").isNotNull()
     columns = ticks.select(*RAW_COLUMNS, "event_time", "ingest_date")
     merged = columns.filter(keyed).mapInArrow(lowest_copies(REPEAT_KEY), columns.schema)
-    milliseconds = F.lit(1000 * slot).cast("long")
-    slots = F.call_function("div", F.col("timestamp") - F.pmod("timestamp", milliseconds), milliseconds)
+    milliseconds = F.lit(1000 * slot * SLOTS_PER_KEY).cast("long")
+    block = F.call_function("div", F.col("timestamp") - F.pmod("timestamp", milliseconds), milliseconds)
     salt = F.pmod(F.xxhash64("timestamp"), F.lit(salts))
     dealt = (
         merged.withWatermark("event_time", f"{memory} seconds")
-        .withColumns({"slot": slots, "salt": salt, "no_price": F.isnull("price"), "no_volume": F.isnull("volume")})
+        .withColumns({"block": block, "salt": salt, "no_price": F.isnull("price"), "no_volume": F.isnull("volume")})
         .drop("ingest_date")
-        .groupBy("symbol", "slot", "salt")
+        .groupBy("symbol", "block", "salt")
     )
     processor = _settler(1000 * hold, 1000 * memory, 1000 * slot)
     settled = dealt.transformWithStateInPandas(processor, SETTLED, "Append", "EventTime", eventTimeColumnName="event_time")
@@ -87,13 +89,23 @@ def lowest_copies(key: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]],
 
 
 def _settler(hold: int, memory: int, slot: int) -> StatefulProcessor:
-    """The state of a key: its ticks, and whether they have been passed on.
+    """The state of a key: the ticks of its slots, and whether they have been passed on.
 
     The class is built here, so that it travels to the executors whole. The watermark lags the latest
     event by ``memory``, so event time is ``hold`` past a moment when the watermark is ``hold - memory``
     past it.
     """
-    kind = np.dtype([("timestamp", "<i8"), ("price", "<f8"), ("volume", "<f8"), ("no_price", "?"), ("no_volume", "?")])
+    kind = np.dtype([("timestamp", "<i8"), ("price", "<f8"), ("volume", "<f8"), ("no_price", "?"), ("no_volume", "?"), ("passed", "?")])
+
+    def slots(rows: np.ndarray) -> np.ndarray:
+        return rows["timestamp"] // slot
+
+    def ends(rows: np.ndarray) -> np.ndarray:
+        return (slots(rows) + 1) * slot
+
+    def due(rows: np.ndarray) -> int:
+        """When a slot is next passed on or forgotten."""
+        return int(np.min(ends(rows) + np.where(rows["passed"], 0, hold - memory)))
 
     def lowest(rows: np.ndarray) -> np.ndarray:
         """The first copy of each timestamp, in the order of price and volume."""
@@ -112,48 +124,45 @@ def _settler(hold: int, memory: int, slot: int) -> StatefulProcessor:
         return lowest(rows)
 
     def unpacked(symbol: str, rows: np.ndarray) -> pd.DataFrame:
-        columns = {"symbol": [symbol] * len(rows)} | {name: rows[name] for name in kind.names}
+        columns = {"symbol": [symbol] * len(rows)} | {name: rows[name] for name in kind.names if name != "passed"}
         return pd.DataFrame(columns | {"event_time": pd.to_datetime(rows["timestamp"] // 1000, unit="s")})
 
     class Settler(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.state = handle.getValueState("ticks", "ticks binary, passed boolean")
+            self.state = handle.getValueState("ticks", "ticks binary")
 
-        def _put(self, rows: np.ndarray, passed: bool) -> None:
-            self.state.update((rows.tobytes(), passed))
+        def _ticks(self) -> np.ndarray:
+            found = self.state.get()
+            return np.frombuffer(found[0], kind) if found else np.zeros(0, kind)
 
         def handleInputRows(self, key, rows, timerValues):
-            symbol, number, _ = key
-            new, end = packed(rows), (number + 1) * slot
-            if self.state.exists():
-                before, passed = self.state.get()
-                known = np.frombuffer(before, kind)
-                if passed:
-                    new = new[~np.isin(new["timestamp"], known["timestamp"])]
-                if len(new):
-                    self._put(lowest(np.concatenate([known, new])), passed)
-                if passed and len(new):
-                    yield unpacked(symbol, new)
-            elif timerValues.getCurrentWatermarkInMs() >= end + hold - memory:
-                self._put(new, True)
-                self.handle.registerTimer(end)
-                yield unpacked(symbol, new)
-            else:
-                self._put(new, False)
-                self.handle.registerTimer(end + hold - memory)
+            known, new = self._ticks(), packed(rows)
+            over = ends(new) + hold - memory <= timerValues.getCurrentWatermarkInMs()
+            opened = np.isin(slots(new), slots(known))
+            new["passed"] = np.where(opened, np.isin(slots(new), slots(known[known["passed"]])), over)
+            new = new[~new["passed"] | ~np.isin(new["timestamp"], known["timestamp"])]
+            if len(new):
+                ticks = lowest(np.concatenate([known, new]))
+                self.state.update((ticks.tobytes(),))
+                if not len(known) or due(ticks) < due(known):
+                    self.handle.registerTimer(due(ticks))
+                if new["passed"].any():
+                    yield unpacked(key[0], new[new["passed"]])
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            symbol, number, _ = key
-            end = (number + 1) * slot
-            ticks, passed = self.state.get()
-            if passed or timerValues.getCurrentWatermarkInMs() >= end:
-                self.state.clear()
+            now, ticks = timerValues.getCurrentWatermarkInMs(), self._ticks().copy()
+            passing = ~ticks["passed"] & (ends(ticks) + hold - memory <= now)
+            settled = ticks[passing]
+            ticks["passed"] |= passing
+            left = ticks[ends(ticks) > now]
+            if len(left):
+                self.state.update((left.tobytes(),))
+                self.handle.registerTimer(due(left))
             else:
-                self.state.update((ticks, True))
-                self.handle.registerTimer(end)
-            if not passed:
-                yield unpacked(symbol, np.frombuffer(ticks, kind))
+                self.state.clear()
+            if len(settled):
+                yield unpacked(key[0], settled)
 
         def close(self) -> None:
             pass
