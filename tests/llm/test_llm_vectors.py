@@ -1,6 +1,11 @@
+import threading
+from contextlib import contextmanager, suppress
+from pathlib import Path
+
 import numpy as np
 import pytest
 
+from tickloom.llm import code_search
 from tickloom.llm.near_vectors import near_vectors
 from tickloom.llm.neighbours import hadamard, nearest
 
@@ -58,6 +63,92 @@ def test_repeated_rows_and_empty_table(spark):
     assert near_vectors(frame(spark, ODD[:6])).filter("n_links > 0").count() == 0
 
 
+@contextmanager
+def shuffles(spark):
+    """Sizes of the shuffle files written meanwhile, by path; Spark may remove them at any time."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    sizes, ended = {}, threading.Event()
+
+    def look():
+        for path in (path for folder in folders for path in Path(folder.getPath()).glob("*/shuffle_*.data")):
+            with suppress(FileNotFoundError):
+                sizes[path] = path.stat().st_size
+
+    look()
+    before = set(sizes)
+    watcher = threading.Thread(target=lambda: [look() for _ in iter(lambda: ended.wait(0.05), True)])
+    watcher.start()
+    yield sizes
+    ended.set()
+    watcher.join()
+    look()
+    for path in before:
+        del sizes[path]
+
+
+def test_near_vectors_write_little(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(4000, 64)).astype(np.float32)
+    table = frame(spark, [(k, v.tolist(), 1) for k, v in enumerate(vectors)])
+    with shuffles(spark) as sizes:
+        rows = near_vectors(table).agg({"n_links": "sum", "vec_id": "count"}).first()
+    assert tuple(rows) == (0, 4000)
+    assert vectors.nbytes / 4 < sum(sizes.values()) <= 3 * vectors.nbytes
+
+
+def test_cosines_that_codes_leave_open(spark):
+    """Pairs nearer to the limit than codes can tell, in planes of their own."""
+    rows = []
+    for k, off in enumerate([1e-5, -1e-5, 1e-6, -1e-6, 1e-7, -1e-7]):
+        v, w = np.zeros(16), np.zeros(16)
+        v[2 * k], w[2 * k : 2 * k + 2] = 1, (0.98 + off, (1 - (0.98 + off) ** 2) ** 0.5)
+        rows += [(3 * k, v.tolist(), 1), (3 * k + 1, w.tolist(), 1), (3 * k + 2, w.tolist(), 1)]
+    rows = [(i, np.float32(v).tolist(), label) for i, v, label in rows]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(frame(spark, rows)).collect()}
+    assert got == brute_links(rows, 0.98)
+    assert {n for n, _, _ in got.values()} == {0, 1, 2}
+
+
+def test_one_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.01], 1), (2, [1.0, 0.02], 1), (3, [0.0, 1.0], 1)]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_vectors(frame(spark, rows)).collect())
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
+
+
+@pytest.mark.parametrize("whole, leaf, dense", [(1 << 20, 1 << 18, 1 / 16), (0, 256, 2), (0, 64, 0)])
+@pytest.mark.parametrize("size, cosine", [(8, 0.98), (8, 0.9), (3, 1.0), (6, -0.2)])
+def test_search_finds_all_pairs_once(monkeypatch, whole, leaf, dense, size, cosine):
+    for name, value in (("WHOLE", whole), ("LEAF", leaf), ("DENSE", dense)):
+        monkeypatch.setattr(code_search, name, value)
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(20, size))[rng.integers(0, 20, 400)] + rng.normal(scale=0.08, size=(400, size))
+    vectors[:5] = 3 * vectors[5:10]
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = np.sum(unit[:, None] * unit, axis=2) >= cosine
+    np.fill_diagonal(near, False)
+    codes, copies = code_search.Codes(size, cosine, 4), rng.integers(1, 4, 400)
+    for parts in ([np.arange(400)], np.array_split(rng.permutation(400), 2)):
+        search = code_search.Search(codes, codes.of(vectors), np.arange(400), copies)
+        for part in parts:
+            search.run(part)
+        if len(parts) > 1:
+            search.run(*parts)
+        links, tree, unsure = search.links, *(np.concatenate([np.zeros((0, 2), int), *p]) for p in (search.edges, search.unsure))
+        assert len({tuple(sorted(pair)) for pair in unsure.tolist()}) == len(unsure)
+        a, b = unsure[near[tuple(unsure.T)]].T if len(unsure) else unsure.T
+        np.add.at(links, a, copies[b])
+        np.add.at(links, b, copies[a])
+        certain = near.copy()
+        certain[a, b] = certain[b, a] = False
+        if cosine < 1:
+            assert (links == near @ copies).all()
+        assert near[tuple(tree.T)].all() and (tree.size == 0) == (not certain.any())
+        parent = np.arange(400)
+        for x, y in np.concatenate([tree, np.column_stack([a, b])]).tolist():
+            parent[parent == parent[x]] = parent[y]
+        assert all(parent[x] == parent[y] for x, y in zip(*np.nonzero(certain)))
+
+
 def brute_nearest(rows, queries, k):
     ok = {i: np.array(v, float) for i, v, _ in rows if i is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(np.array(v) != 0)}
     out = {}

@@ -1,38 +1,36 @@
-"""Near-duplicate vectors of one label by a subspace pigeonhole join."""
+"""Near-duplicate vectors of one label: integer codes meet in chunks, vectors settle what codes leave open."""
 
 from __future__ import annotations
 
-import math
+import hashlib
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.code_search import Codes, Search
 from tickloom.llm.components import connected_components
-from tickloom.llm.tables import written
-from tickloom.llm.vectors import dimension, matrix, unit_rows, usable
+from tickloom.llm.tables import release_memory, written
+from tickloom.llm.vectors import matrix, one_size, unit_rows, usable
 
 COSINE = 0.98
-BLOCKS, GRID = 8, 2
-CHUNK = 2_048
-#: Room for rounding in the candidate search; the cosine itself is compared exactly.
-SLACK = 1e-9
+BLOCKS = 4
+#: Vectors of a label that one side of a task holds; labels with an eighth of it are cut in two.
+CHUNK = 1 << 19
+#: Groups, at least, that share out the labels with fewer vectors.
+GROUPS = 64
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, blocks: int = BLOCKS, grid: int = GRID) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, blocks: int = BLOCKS) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row of ``vectors (vec_id, embedding, label)``.
 
     Two vectors link when their labels are equal and not null and their cosine is ``cosine`` or more.
-    Unit vectors are rotated and split into ``blocks``; if the squared distance of two vectors is
-    within 2 - 2 cosine, in some block it is within that block's share, in proportion to its
-    components. Each block is range-joined on a grid over its first ``grid`` components, whose cells
-    are twice as wide as the block's radius: a vector goes to its own cell and to the near neighbour
-    along each of them. Pairs within the radius are verified on the original vectors in the first
-    block that finds them, so that none counts twice; a task passes on counts and a spanning forest of
-    its links, never the pairs. Cells are cut into chunks that meet pairwise.
+    Unit vectors are rotated and rounded to 16 bits a component. Only these codes move: those of a
+    label meet in one task, in chunks that meet pairwise if they are many. A task searches them in
+    memory by ``blocks`` (see ``code_search``) and passes on counts, a spanning forest of its links and
+    the pairs too close to ``cosine`` for codes to tell, which are verified on the original vectors.
 
     Rows with the same vector (exactly, up to the sign of zero) and label are one before the join.
     Vectors that are null, zero or not finite and rows with a null label link with nothing; a null
@@ -41,23 +39,20 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, blocks: int = BLOCK
     part = vectors.select("vec_id", "embedding", "label").withColumn(
         "takes_part", usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     )
-    value = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
-    keyed = written(part.withColumn("copy", F.when(F.col("takes_part"), F.md5(F.concat(F.to_json(F.array("label")), F.to_json(value))))), "vectors")
+    value = F.when(F.col("takes_part"), F.col("embedding").cast("array<double>"))
+    rows = part.select("vec_id", "takes_part", value.alias("embedding"), F.xxhash64("label").alias("label"), F.to_json(F.array("label")).alias("name"))
+    keyed = written(rows.mapInArrow(_keys, KEYED), "vectors")
     taking = keyed.filter("takes_part")
-    copies = written(taking.groupBy("copy").agg(F.min("vec_id").alias("node"), F.count_distinct("vec_id").alias("copies")), "copies")
-    nodes = written(
-        taking.join(copies, "copy")
-        .filter("vec_id = node")
-        .dropDuplicates(["copy"])
-        .select("node", F.xxhash64("label").alias("label"), value.alias("embedding"), "copies"),
-        "nodes",
+    copies = written(
+        taking.groupBy("copy", "mark").agg(F.min("vec_id").alias("node"), F.count_distinct("vec_id").alias("copies"), F.min("label").alias("label")),
+        "copies",
     )
-    size = dimension(nodes, "embedding")
-    found = written(_joined(nodes, size, cosine, blocks, grid), "found")
+    size = one_size(taking.select("size"))
+    found = written(_joined(rows.filter("takes_part"), copies, size, cosine, blocks), "found")
     classes = connected_components(found.filter("b IS NOT NULL").select("a", "b"))
-    counts = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    named = copies.join(counts, "node", "left").join(classes, "node", "left")
-    result = keyed.join(named.filter("copy IS NOT NULL"), "copy", "left")
+    counts = found.filter("links IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    named = copies.drop("label").join(counts, "node", "left").join(classes, "node", "left")
+    result = keyed.join(named, ["copy", "mark"], "left")
     component = F.coalesce("component", "node", "vec_id")
     return result.select(
         "vec_id",
@@ -67,148 +62,141 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, blocks: int = BLOCK
     )
 
 
+KEYED = "vec_id long, takes_part boolean, label long, size int, copy long, mark long"
+CODED = "node long, copy long, mark long, code binary"
 FOUND = "a long, b long, links long"
-PLACED = "cell long, part_a int, part_b int, home boolean, node long, label long, copies long, embedding array<double>"
+OPEN = "mark_a long, mark_b long, copies_a long, copies_b long"
 
 
-def _joined(nodes: DataFrame, size: int, cosine: float, blocks: int, grid: int) -> DataFrame:
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row with the size of its vector and 128 bits that tell its vector and label from others."""
+    for batch in batches:
+        size, digests = _digests(batch)
+        none = ~batch.column("takes_part").to_numpy(zero_copy_only=False).astype(bool)
+        columns = [pa.array(size, mask=none), *(pa.array(digests[:, k], mask=none) for k in range(2))]
+        yield pa.record_batch([*(batch.column(c) for c in ("vec_id", "takes_part", "label")), *columns], ["vec_id", "takes_part", "label", "size", "copy", "mark"])
+
+
+def _digests(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    vectors = batch.column("embedding")
+    size = np.nan_to_num(vectors.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int32)
+    flat = (vectors.flatten().to_numpy(zero_copy_only=False) + 0.0).tobytes()
+    ends = np.cumsum(size, dtype=np.int64) * 8
+    names = batch.column("name").to_pylist()
+    digests = [
+        hashlib.md5(f"{name}".encode() + flat[start:end], usedforsecurity=False).digest()
+        for name, start, end in zip(names, (ends - size * 8).tolist(), ends.tolist())
+    ]
+    return size, np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+
+
+def _joined(rows: DataFrame, copies: DataFrame, size: int, cosine: float, blocks: int) -> DataFrame:
     """Rows ``(a, b, null)`` of a spanning forest, and ``(a, null, links)`` to be summed."""
     if not size:
-        return nodes.sparkSession.createDataFrame([], FOUND)
-    split = Subspaces(size, cosine, min(blocks, size), grid)
-    placed = nodes.mapInArrow(_cells(split), "block int, cell long, home boolean, node long, label long, copies long, embedding array<double>")
-    sizes = nodes.mapInArrow(_cells(split, counted=True), "block int, cell long, n long").groupBy("block", "cell").agg(F.sum("n").alias("n"))
-    full = written(sizes.filter(F.col("n") > CHUNK).select("block", "cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "full-cells")
-    parted = placed.join(full, ["block", "cell"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    # a chunk of the vectors at home in a cell meets each chunk of all vectors in it
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    others = F.sequence(F.lit(0), F.col("parts") - 1)
-    as_home = parted.filter("home").select("*", own.alias("part_a"), F.explode(others).alias("part_b"), F.lit(True).alias("left"))
-    as_other = parted.select("*", F.explode(others).alias("part_a"), own.alias("part_b"), F.lit(False).alias("left"))
-    both = as_home.filter("parts > 1").unionByName(as_other.filter("parts > 1")).unionByName(
-        parted.filter("parts = 1").select("*", F.lit(0).alias("part_a"), F.lit(0).alias("part_b"), F.lit(None).cast("boolean").alias("left"))
-    )
-    return both.groupBy("block", "cell", "part_a", "part_b").applyInArrow(_cell_links(split), FOUND)
-
-
-class Subspaces:
-    """A random rotation and the blocks of its components, with the radius of each."""
-
-    def __init__(self, size: int, cosine: float, blocks: int, grid: int):
-        normal = np.random.default_rng(11).normal(size=(size, size))
-        self.rotation = np.linalg.qr(normal)[0]
-        edges = np.linspace(0, size, blocks + 1).astype(int)
-        self.spans = list(zip(edges[:-1], edges[1:]))
-        self.cosine = cosine
-        budget = max(2 - 2 * cosine, 0) + SLACK
-        self.budgets = [budget * (end - start) / size + SLACK for start, end in self.spans]
-        self.radii = [math.sqrt(b) for b in self.budgets]
-        self.grid = grid
-
-    def rotated(self, rows: np.ndarray) -> np.ndarray:
-        return unit_rows(rows) @ self.rotation
-
-
-def _cells(split: Subspaces, counted: bool = False):
-    """The cells of each vector in every block, or how many vectors each cell gets."""
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                rotated = split.rotated(matrix(batch.column("embedding")))
-                label = batch.column("label").to_numpy()
-                found = []
-                for block, ((first, end), radius) in enumerate(zip(split.spans, split.radii)):
-                    scaled = rotated[:, first : min(end, first + split.grid)] / (2 * radius)
-                    home = np.floor(scaled).astype(np.int64)
-                    near = np.where(scaled - home < 0.5, -1, 1)
-                    for step in product((0, 1), repeat=scaled.shape[1]):
-                        cell = home + near * np.array(step)
-                        key = label.copy()
-                        for k in range(cell.shape[1]):
-                            key = key * 1_000_003 + cell[:, k]
-                        found.append((np.full(len(key), block, np.int32), key, np.full(len(key), not any(step))))
-                blocks, cells, homes = (np.concatenate(c) for c in zip(*found))
-                if counted:
-                    n = pa.table({"block": blocks, "cell": cells}).group_by(["block", "cell"]).aggregate([([], "count_all")])
-                    yield from n.rename_columns(["block", "cell", "n"]).to_batches()
-                    continue
-                at = pa.array(np.tile(np.arange(batch.num_rows), len(found)))
-                rest = [batch.column(name).take(at) for name in ("node", "label", "copies", "embedding")]
-                yield pa.record_batch(
-                    [pa.array(blocks), pa.array(cells), pa.array(homes), *rest],
-                    ["block", "cell", "home", "node", "label", "copies", "embedding"],
-                )
-
-    return place
-
-
-def _cell_links(split: Subspaces):
-    """Links of a cell whose first vector is at home there, found first in this block."""
+        return rows.sparkSession.createDataFrame([], FOUND)
+    codes = Codes(size, cosine, blocks)
+    keys = ["copy", "mark", "node"]
+    coded = rows.withColumnRenamed("vec_id", "node").mapInArrow(_coded(codes), CODED)
+    nodes = coded.join(copies, keys).dropDuplicates(keys).drop("copy")
+    sizes = copies.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    cut = F.greatest(F.ceil(F.col("n") / CHUNK), F.lit(2)).cast("int")
+    large = written(sizes.filter(F.col("n") > CHUNK // 8).select("label", cut.alias("parts")), "large-labels")
+    parted = nodes.join(large, "label", "left").withColumn("own", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    # a chunk meets itself and every other one; small labels are dealt to groups
+    other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
+    groups = max(GROUPS, 8 * copies.count() // CHUNK)
+    group = F.when(F.col("parts").isNull(), F.pmod("label", F.lit(groups))).otherwise(F.col("label"))
+    dealt = parted.withColumn("other", other).select(
+        group.alias("group"),
+        F.least("own", "other").alias("part_a"),
+        F.greatest("own", "other").alias("part_b"),
+        F.coalesce(F.col("own") > F.col("other"), F.lit(False)).alias("right"),
+        "label", "node", "mark", "copies", "code",
+    )
+    told = written(dealt.groupBy("group", "part_a", "part_b").applyInArrow(_links(codes), f"{FOUND}, {OPEN}"), "told")
+    settled = _settled(rows, told.filter("mark_a IS NOT NULL"), cosine)
+    return told.filter("mark_a IS NULL").select("a", "b", "links").unionByName(settled)
+
+
+def _coded(codes: Codes):
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            _, digests = _digests(batch)
+            values = pa.py_buffer(codes.of(matrix(batch.column("embedding"))).tobytes())
+            ends = pa.py_buffer(np.arange(0, 2 * codes.size * batch.num_rows + 1, 2 * codes.size, dtype=np.int32).tobytes())
+            value = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, ends, values])
+            yield pa.record_batch([batch.column("node"), pa.array(digests[:, 0]), pa.array(digests[:, 1]), value], ["node", "copy", "mark", "code"])
+
+    return code
+
+
+def _links(codes: Codes):
+    """Links among the codes of a group, label by label."""
 
     def links(key: tuple, rows: pa.Table) -> pa.Table:
-        block = key[0].as_py()
-        node, label, copies = (rows.column(c).to_numpy() for c in ("node", "label", "copies"))
-        home = rows.column("home").to_numpy(zero_copy_only=False).astype(bool)
-        side = rows.column("left")
-        left = np.flatnonzero(home) if side.null_count else np.flatnonzero(side.to_numpy(zero_copy_only=False).astype(bool))
-        right = np.arange(len(node)) if side.null_count else np.setdiff1d(np.arange(len(node)), left)
-        unit = unit_rows(matrix(rows.column("embedding"))) if len(node) else np.zeros((0, 1))
-        turned = unit @ split.rotation
-        first, end = split.spans[block]
-        part = turned[:, first:end]
-        count, forest = np.zeros(len(node), np.int64), _Forest(node)
-        for start in range(0, len(left), 512):
-            some = left[start : start + 512]
-            distance = (
-                np.sum(part[some] ** 2, axis=1)[:, None] + np.sum(part[right] ** 2, axis=1) - 2 * part[some] @ part[right].T
-            )
-            i, j = np.nonzero(distance <= split.budgets[block] + SLACK)
-            i, j = some[i], right[j]
-            ordered = (node[i] < node[j]) & (label[i] == label[j])
-            i, j = i[ordered], j[ordered]
-            for step in range(0, len(i), 65_536):
-                a, b = i[step : step + 65_536], j[step : step + 65_536]
-                linked = np.sum(unit[a] * unit[b], axis=1) >= split.cosine
-                a, b = a[linked], b[linked]
-                earlier = np.zeros(len(a), bool)
-                for other in range(block):
-                    s, e = split.spans[other]
-                    earlier |= np.sum((turned[a, s:e] - turned[b, s:e]) ** 2, axis=1) <= split.budgets[other]
-                a, b = a[~earlier], b[~earlier]
-                np.add.at(count, a, copies[b])
-                np.add.at(count, b, copies[a])
-                forest.join(node[a], node[b])
-        some = np.flatnonzero(count)
-        tree = np.array(forest.edges, np.int64).reshape(-1, 2)
-        none = len(tree)
+        release_memory()
+        label, node, mark, copies = (rows.column(c).to_numpy() for c in ("label", "node", "mark", "copies"))
+        right = rows.column("right").to_numpy(zero_copy_only=False).astype(bool)
+        code = rows.column("code").combine_chunks()
+        start = code.offset * 2 * codes.size
+        code = np.frombuffer(code.buffers()[2], np.int16)[start // 2 :][: len(node) * codes.size].reshape(-1, codes.size)
+        search = Search(codes, code, node, copies)
+        order = np.argsort(label, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+            if len(some) > 1:
+                search.run(some[~right[some]], None if key[1] == key[2] else some[right[some]])
+        linked = np.flatnonzero(search.links)
+        tree, unsure = (np.concatenate([np.zeros((0, 2), np.int64), *pairs]) for pairs in (search.edges, search.unsure))
+        a, b = np.concatenate([tree, unsure]).T
+        sure, none = np.arange(len(a)) < len(tree), pa.nulls(len(linked), pa.int64())
+
+        def of_open(values: np.ndarray) -> pa.ChunkedArray:
+            return pa.chunked_array([pa.array(values, mask=sure), none])
+
         return pa.table(
             {
-                "a": np.concatenate([tree[:, 0], node[some]]),
-                "b": pa.array(np.concatenate([tree[:, 1], np.zeros(len(some), np.int64)]), mask=np.arange(none + len(some)) >= none),
-                "links": pa.array(np.concatenate([np.zeros(none, np.int64), count[some]]), mask=np.arange(none + len(some)) < none),
+                "a": np.concatenate([node[a], node[linked]]),
+                "b": pa.chunked_array([pa.array(node[b]), none]),
+                "links": pa.chunked_array([pa.nulls(len(a), pa.int64()), pa.array(search.links[linked])]),
+                "mark_a": of_open(mark[a]),
+                "mark_b": of_open(mark[b]),
+                "copies_a": of_open(copies[a]),
+                "copies_b": of_open(copies[b]),
             }
         )
 
     return links
 
 
-class _Forest:
-    """Keeps those links that connect what was apart."""
-
-    def __init__(self, nodes: np.ndarray):
-        self.parent = {n: n for n in nodes.tolist()}
-        self.edges: list[tuple[int, int]] = []
-
-    def root(self, n: int) -> int:
-        while self.parent[n] != n:
-            self.parent[n] = n = self.parent[self.parent[n]]
-        return n
-
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        for x, y in zip(a.tolist(), b.tolist()):
-            p, q = self.root(x), self.root(y)
-            if p != q:
-                self.parent[max(p, q)] = min(p, q)
-                self.edges.append((x, y))
+def _settled(rows: DataFrame, unsure: DataFrame, cosine: float) -> DataFrame:
+    """The links among pairs that codes leave open, told by their vectors."""
+    if unsure.isEmpty():
+        return rows.sparkSession.createDataFrame([], FOUND)
+    ends = unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = rows.withColumnRenamed("vec_id", "node").join(ends, "node", "left_semi")
+    vectors = written(wanted.mapInArrow(_marked, "node long, mark long, embedding array<double>").dropDuplicates(["node", "mark"]), "open-vectors")
+    left, right = (vectors.select(F.col("node").alias(end), F.col("mark").alias(f"mark_{end}"), F.col("embedding").alias(f"vector_{end}")) for end in "ab")
+    pairs = unsure.drop("links").join(left, ["a", "mark_a"]).join(right, ["b", "mark_b"])
+    return written(pairs.mapInArrow(_linked(cosine), FOUND), "settled")
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        mark = pa.array(_digests(batch)[1][:, 1])
+        yield pa.record_batch([batch.column("node"), mark, batch.column("embedding")], ["node", "mark", "embedding"])
+
+
+def _linked(cosine: float):
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, two = (unit_rows(matrix(batch.column(f"vector_{end}"))) for end in "ab")
+            some = pa.array(np.sum(one * two, axis=1) >= cosine)
+            a, b, more, links = (batch.column(c).filter(some) for c in ("a", "b", "copies_a", "copies_b"))
+            none = pa.nulls(len(a), pa.int64())
+            yield pa.record_batch([pa.concat_arrays(c) for c in ((a, a, b), (b, none, none), (none, links, more))], ["a", "b", "links"])
+
+    return linked

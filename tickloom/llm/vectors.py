@@ -17,7 +17,12 @@ def usable(vector: Column | str) -> Column:
 
 def dimension(vectors: DataFrame, column: str) -> int:
     """Components of the usable vectors (0 without any); different lengths are an error."""
-    low, high = vectors.agg(F.min(F.size(column)), F.max(F.size(column))).first()
+    return one_size(vectors.select(F.size(column).alias("size")))
+
+
+def one_size(sizes: DataFrame) -> int:
+    """The one ``size`` of all rows (0 without any); different ones are an error."""
+    low, high = sizes.agg(F.min("size"), F.max("size")).first()
     if low != high:
         raise ValueError(f"vectors of {low} and of {high} components cannot be compared")
     return low or 0
