@@ -118,7 +118,7 @@ def test_one_id_with_several_vectors(spark):
 @pytest.mark.parametrize("whole, leaf, dense", [(1 << 20, 1 << 18, 1 / 16), (0, 256, 2), (0, 64, 0)])
 @pytest.mark.parametrize("size, cosine", [(8, 0.98), (8, 0.9), (3, 1.0), (6, -0.2)])
 def test_search_finds_all_pairs_once(monkeypatch, whole, leaf, dense, size, cosine):
-    for name, value in (("WHOLE", whole), ("LEAF", leaf), ("DENSE", dense)):
+    for name, value in (("WHOLE", whole), ("LEAF", leaf), ("DENSE", dense), ("PIECE", max(whole, 100))):
         monkeypatch.setattr(code_search, name, value)
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(20, size))[rng.integers(0, 20, 400)] + rng.normal(scale=0.08, size=(400, size))

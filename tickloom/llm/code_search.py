@@ -11,7 +11,9 @@ from tickloom.llm.vectors import unit_rows
 #: The code of a component of 1.
 UNIT = 32_767
 #: Pairs compared at once, and pairs up to which a search is not split by blocks.
-LEAF, WHOLE = 1 << 18, 1 << 20
+LEAF, WHOLE = 1 << 19, 1 << 20
+#: Vectors whose components are unpacked at once.
+PIECE = 1 << 17
 #: Candidates whose codes are compared at once; from this share on, all pairs of a leaf are.
 BATCH, DENSE = 1 << 14, 1 / 16
 
@@ -66,19 +68,28 @@ class Search:
         for self.block, (first, end, _) in enumerate(self.blocks):
             self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
             self.n_waiting = 0
-            part = self.code[left, first:end].astype(np.float32)
-            if right is None:
-                self._within(left, part)
-            else:
-                self._between(left, part, right, self.code[right, first:end].astype(np.float32))
+            lefts, rights = (None if rows is None else self._pieces(rows, first, end) for rows in (left, right))
+            for k, rows in enumerate(lefts):
+                part = _columns(self.code[rows, first:end])
+                if right is None:
+                    self._within(rows, part)
+                for others in lefts[k + 1 :] if right is None else rights:
+                    self._between(rows, part, others, _columns(self.code[others, first:end]))
             self._compare_waiting()
 
+    def _pieces(self, rows: np.ndarray, first: int, end: int) -> list[np.ndarray]:
+        """The rows, halved as they are later, so that only pieces of them are unpacked."""
+        if len(rows) <= PIECE:
+            return [rows]
+        part = self.code[rows, first:end].T
+        return [piece for half in _halves(part, part.min(axis=1).astype(int), part.max(axis=1)) for piece in self._pieces(rows[half], first, end)]
+
     def _within(self, rows: np.ndarray, part: np.ndarray) -> None:
         if len(rows) ** 2 <= 2 * LEAF:
             self._compare(rows, part, rows, part)
             return
-        low, high = _halves(part)
-        one, other = (rows[low], part[low]), (rows[high], part[high])
+        low, high = _halves(part, *_box(part))
+        one, other = (rows[low], part.take(low, axis=1)), (rows[high], part.take(high, axis=1))
         self._within(*one)
         self._within(*other)
         self._between(*one, *other)
@@ -86,44 +97,48 @@ class Search:
     def _between(self, left: np.ndarray, part: np.ndarray, right: np.ndarray, other: np.ndarray) -> None:
         if not (len(left) and len(right)):
             return
-        near = self._near_box(part, other)
-        if not near.all():
-            right, other = right[near], other[near]
+        box = _box(part)
+        near = self._near(*box, other)
+        if len(near) < len(right):
+            right, other = right[near], other.take(near, axis=1)
         if not len(right):
             return
-        near = self._near_box(other, part)
-        if not near.all():
-            left, part = left[near], part[near]
+        other_box = _box(other)
+        near = self._near(*other_box, part)
+        if len(near) < len(left):
+            left, part = left[near], part.take(near, axis=1)
         if not len(left):
             return
         if len(left) * len(right) <= LEAF:
             self._compare(left, part, right, other)
         elif len(left) >= len(right):
-            for half in _halves(part):
-                self._between(left[half], part[half], right, other)
+            for half in _halves(part, *box):
+                self._between(left[half], part.take(half, axis=1), right, other)
         else:
-            for half in _halves(other):
-                self._between(left, part, right[half], other[half])
+            for half in _halves(other, *other_box):
+                self._between(left, part, right[half], other.take(half, axis=1))
 
-    def _near_box(self, inside: np.ndarray, part: np.ndarray) -> np.ndarray:
-        """Which rows of ``part`` are within the block's share of the box around ``inside``."""
-        out = np.maximum(inside.min(axis=0) - part, part - inside.max(axis=0))
-        np.maximum(out, 0, out=out)
-        return np.einsum("ij,ij->i", out, out) <= 1.001 * self.shares[self.block]
+    def _near(self, least: np.ndarray, most: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """Which columns of ``part`` are within the block's share of a box."""
+        out = np.clip(part[:-1], least[:, None], most[:, None])
+        out -= part[:-1]
+        return np.flatnonzero(np.einsum("ij,ij->j", out, out) <= 1.001 * self.blocks[self.block][2])
 
     def _compare(self, left: np.ndarray, part: np.ndarray, right: np.ndarray, other: np.ndarray) -> None:
-        squares = _squares(part, other)
-        # single precision may be off by this much; the codes of what it lets through are compared exactly
-        rounding = (part.shape[1] + 8) * 2.0**-22 * float(np.square(part).sum(axis=1).max() + np.square(other).sum(axis=1).max())
-        hits = np.flatnonzero(squares.ravel() <= self.shares[self.block] + rounding)
-        if len(hits) > DENSE * squares.size:
-            self._compare_all(left, right, left is right)
-        elif len(hits):
-            self._wait(left, right, hits, left is right)
-
-    def _wait(self, left: np.ndarray, right: np.ndarray, hits: np.ndarray, same: bool) -> None:
+        squares, off = _squares(part, other)
+        _, _, share = self.blocks[self.block]
+        inside = squares <= share + off
+        if np.count_nonzero(inside) > DENSE * inside.size:
+            self._compare_all(left, right, inside, squares <= share - off)
+        else:
+            self._wait(left, right, inside)
+
+    def _wait(self, left: np.ndarray, right: np.ndarray, some: np.ndarray) -> None:
+        hits = np.flatnonzero(some)
+        if not len(hits):
+            return
         i, j = np.divmod(hits, len(right))
-        if same:
+        if left is right:
             i, j = i[i < j], j[i < j]
         self.waiting.append((left[i], right[j]))
         self.n_waiting += len(i)
@@ -147,35 +162,34 @@ class Search:
                 np.add.at(self.links, a[sure], self.copies[b[sure]])
                 np.add.at(self.links, b[sure], self.copies[a[sure]])
                 self._join(a[sure], b[sure])
-            self._leave(a, b, found & ~sure)
+            if (unsure := found & ~sure).any():
+                self.unsure.append(np.column_stack([a[unsure], b[unsure]]))
 
-    def _compare_all(self, left: np.ndarray, right: np.ndarray, same: bool) -> None:
-        """The same for all pairs of a leaf, by matrix products."""
-        one, two = self.code[left].astype(np.float64), self.code[right].astype(np.float64)
-        found = self.node[left][:, None] != self.node[right]
-        for block in (self.block, *range(self.block)):
+    def _compare_all(self, left: np.ndarray, right: np.ndarray, found: np.ndarray, clear: np.ndarray) -> None:
+        """Settles by matrix products what is ``clear`` among all pairs of a leaf; the others ``found`` wait."""
+        one, two = self.code[left], self.code[right]
+        for block in range(self.block):
             first, end, share = self.blocks[block]
-            inside = _squares(one[:, first:end], two[:, first:end]) <= share
-            found &= inside if block == self.block else ~inside
+            squares, off = _squares(_columns(one[:, first:end]), _columns(two[:, first:end]))
+            found &= squares > share - off
             if np.count_nonzero(found) <= DENSE * found.size:
-                self._wait(left, right, np.flatnonzero(found), same)
+                self._wait(left, right, found)
                 return
-        total = _squares(one, two)
-        found &= total <= self.codes.near
-        if same:
+            clear &= squares > share + off
+        total, off = _squares(_columns(one), _columns(two))
+        found &= total <= self.codes.near + off
+        clear &= found
+        clear &= total <= self.codes.sure - off
+        clear &= self.node[left][:, None] != self.node[right]
+        if left is right:
+            clear = np.triu(clear, 1)
             found = np.triu(found, 1)
-        sure = found & (total <= self.codes.sure)
-        counted = sure.astype(np.float64)
+        counted = clear.astype(np.float64)
         np.add.at(self.links, left, (counted @ self.copies[right].astype(np.float64)).astype(np.int64))
         np.add.at(self.links, right, (self.copies[left].astype(np.float64) @ counted).astype(np.int64))
-        i, j = np.divmod(np.flatnonzero(sure & (self._roots(left)[:, None] != self._roots(right))), len(right))
+        i, j = np.divmod(np.flatnonzero(clear & (self._roots(left)[:, None] != self._roots(right))), len(right))
         self._join(left[i], right[j])
-        i, j = np.divmod(np.flatnonzero(found & ~sure), len(right))
-        self._leave(left[i], right[j], slice(None))
-
-    def _leave(self, a: np.ndarray, b: np.ndarray, some: np.ndarray | slice) -> None:
-        if len(a[some]):
-            self.unsure.append(np.column_stack([a[some], b[some]]))
+        self._wait(left, right, found & ~clear)
 
     def _roots(self, rows: np.ndarray) -> np.ndarray:
         root = self.parent[rows]
@@ -196,15 +210,26 @@ class Search:
                 self.edges.append(np.column_stack([a[at], b[at]]))
 
 
-def _squares(part: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Squared distances of all pairs of rows, by one product."""
-    square, squares = (np.einsum("ij,ij->i", rows, rows) for rows in (part, other))
-    one = np.column_stack([-2 * part, square, np.ones_like(square)])
-    return one @ np.column_stack([other, np.ones_like(squares), squares]).T
+def _columns(rows: np.ndarray) -> np.ndarray:
+    """Components in rows, vectors in columns; below them the squares of the vectors."""
+    part = np.empty((rows.shape[1] + 1, len(rows)), np.float32)
+    part[:-1] = rows.T
+    part[-1] = np.einsum("ij,ij->j", part[:-1], part[:-1])
+    return part
+
+
+def _squares(part: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, float]:
+    """Squared distances of all pairs of columns, by one product, and how far off single precision may be."""
+    one = np.concatenate([-2 * part[:-1], part[-1:], np.ones_like(part[-1:])])
+    off = (len(part) + 8) * 2.0**-22 * float(part[-1].max() + other[-1].max())
+    return one.T @ np.concatenate([other[:-1], np.ones_like(other[-1:]), other[-1:]]), off
+
+
+def _box(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return part[:-1].min(axis=1), part[:-1].max(axis=1)
 
 
-def _halves(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _halves(part: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the lower and the upper half along the widest component."""
-    widest = np.argmax(part.max(axis=0) - part.min(axis=0))
-    order = np.argpartition(part[:, widest], len(part) // 2)
-    return order[: len(part) // 2], order[len(part) // 2 :]
+    order = np.argpartition(part[np.argmax(most - least)], part.shape[1] // 2)
+    return order[: part.shape[1] // 2], order[part.shape[1] // 2 :]
